@@ -42,8 +42,9 @@ def rates(docs: DataFrame, weights: dict[str, float] | None = None, alpha: float
         share = F.lit(0.0)
         for name, w in sorted(weights.items()):
             share = F.when(F.col("source") == name, F.lit(float(w))).otherwise(share)
-    all_ = sizes.agg(F.sum("size").cast("double").alias("total"), F.sum(share).alias("shares"))
-    return sizes.crossJoin(F.broadcast(all_)).select("source", "size", F.when(F.col("shares") > 0, share / F.col("shares") * F.col("total") / F.col("size")).otherwise(0.0).alias("rate"))
+    total, shares = sizes.agg(F.sum("size").cast("double"), F.sum(share)).first()
+    rate = share / F.lit(shares) * F.lit(total) / F.col("size") if shares else F.lit(0.0)
+    return sizes.select("source", "size", rate.alias("rate"))
 
 
 

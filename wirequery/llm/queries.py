@@ -7,8 +7,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing
-from .common import table
+from . import langid, mixing, quality, toxicity
+from .common import fold, table
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by the rule ensemble, learned from labels outside the held-out fold."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels.filter(fold("doc_id", 5) != 0))
+    out = docs.select("doc_id", quality.stats_of(F.col("text")).alias("stats")).select("doc_id", model.score(F.col("stats")).alias("score"))
+    return out.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.filter(fold("doc_id", 3) != 1))
+    out = docs.select("doc_id", langid.identify(model, spark, F.col("text")).alias("x"))
+    return out.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "x.lang_pred", "x.score", "x.runner_up", "x.ambiguous")
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from labels outside the held-out fold."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.filter(fold("doc_id", 3) != 1))
+    out = docs.select("doc_id", toxicity.score(model, spark, F.col("text")).alias("x"))
+    return out.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "x.score", (F.col("x.score") >= 0.7).cast("int").alias("predicted"), F.size("x.passages").alias("n_passages"))
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,5 +55,5 @@ copies as (select *, (piece - 1) * 96 + unnest(range(1, n + 1)) as mix_copy from
 select doc_id, text, lang, source, n_chars, round(rate, 9) as mix_rate, cast(mix_copy as bigint) as mix_copy, md5('17o|' || coalesce(cast(doc_id as varchar), '') || '|' || mix_copy) as mix_order from copies
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op10_mixing": op10_mixing}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_quality, op3_langid, op5_toxicity, op10_mixing)}
 SQL: dict[str, str] = {"op10_mixing": OP10_SQL}
