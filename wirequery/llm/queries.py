@@ -7,8 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, quality, toxicity
-from .common import fold, table
+from . import decontam, langid, mixing, quality, toxicity, warc
+from .common import fold, scratch, table
+
+
+def op1_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, test item) pair whose alignment reaches the contamination score."""
+    docs = table(spark, sf_dir, "documents")
+    hits = decontam.found(docs, table(spark, sf_dir, "benchmark"))
+    return docs.select("doc_id", F.explode(hits).alias("x")).select("doc_id", "x.item_id", "x.score", "x.start", "x.end")
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +42,25 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "x.score", (F.col("x.score") >= 0.7).cast("int").alias("predicted"), F.size("x.passages").alias("n_passages"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC archives and read back by the salvage reader."""
+    path = scratch(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), path, min_bytes=0)
+    number = lambda c: F.regexp_extract(c, warc.URN + r"(-?\d+)>", 1).try_cast("long")
+    rows = warc.read(spark, path).filter(F.col("type") != "gap")
+    return rows.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), number("refers_to").alias("refers_to"))
+
+
+OP7_SQL = """
+with p as (select page_id, coalesce(html, '') as html from pages),
+h as (select page_id, strlen(html) as payload_bytes, sha1(html) as h from p),
+d as (select page_id, cast(payload_bytes as bigint) as payload_bytes, h,
+ array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast((cast(('0x' || substr(h, cast(1 + 5 * (i // 4) as bigint), 5)) as bigint) >> (15 - 5 * (i % 4))) & 31 as bigint) + 1, 1)), '') as payload_digest from h),
+m as (select *, min(page_id) over (partition by h) as first from d)
+select page_id, payload_bytes, payload_digest, case when page_id = first then 'response' else 'revisit' end as record_type, case when page_id = first then null else first end as refers_to from m
+"""
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to shares in proportion to the square root of each source's characters."""
     out = mixing.mix(table(spark, sf_dir, "documents"), alpha=0.5, seed=17)
@@ -55,5 +81,5 @@ copies as (select *, (piece - 1) * 96 + unnest(range(1, n + 1)) as mix_copy from
 select doc_id, text, lang, source, n_chars, round(rate, 9) as mix_rate, cast(mix_copy as bigint) as mix_copy, md5('17o|' || coalesce(cast(doc_id as varchar), '') || '|' || mix_copy) as mix_order from copies
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_quality, op3_langid, op5_toxicity, op10_mixing)}
-SQL: dict[str, str] = {"op10_mixing": OP10_SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontam, op2_quality, op3_langid, op5_toxicity, op7_warc, op10_mixing)}
+SQL: dict[str, str] = {"op7_warc": OP7_SQL, "op10_mixing": OP10_SQL}
