@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, mixing, quality, toxicity, warc
+from . import decontam, fingerprint, langid, linededup, mixing, quality, toxicity, warc
 from .common import fold, scratch, table
 
 
@@ -42,6 +42,35 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "x.score", (F.col("x.score") >= 0.7).cast("int").alias("predicted"), F.size("x.passages").alias("n_passages"))
 
 
+def op6_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines whose template recurs."""
+    return linededup.dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_dropped")
+
+
+OP6_SQL = r"""
+with lines as (select text as body, doc_id, l, list_transform(string_split_regex(trim(regexp_replace(l, '[ \t\r\f\v]+', ' ', 'g')), ' '), lambda x: case when regexp_matches(x, '[0-9]') then '<*>' else x end) as tokens
+ from (select doc_id, text, unnest(string_split(text, chr(10))) as l from documents where length(text) > 0) where regexp_matches(l, '[^ \t\r\f\v]')),
+seen as (select len(tokens) as n, tokens[1] as a, tokens[2] as b, tokens[3] as c, tokens, l, body, min(doc_id) as id from lines group by all),
+hot as (select n, a, b, c from seen group by all having count(distinct body) >= 5),
+s as (select seen.* from seen join hot on seen.n = hot.n and seen.a = hot.a and seen.b is not distinct from hot.b and seen.c is not distinct from hot.c),
+counts as (select n, a, b, c, tokens, count(distinct body) as texts from s where n >= 8 group by all),
+toks as (select *, unnest(tokens) as token, unnest(range(0, n)) as pos from counts),
+const as (select n, a, b, c, pos, token, sum(texts) as t from toks where pos >= 3 group by all having sum(texts) >= 5),
+flags as (select toks.*, toks.pos < 3 or const.t is not null as fixed from toks left join const on toks.n = const.n and toks.a = const.a and toks.b = const.b and toks.c = const.c and toks.pos = const.pos and toks.token = const.token),
+templ as (select tokens, list(case when fixed then token else '<*>' end order by pos) as template from flags group by tokens having avg(cast(fixed as integer)) >= 0.75),
+st as (select s.*, coalesce(templ.template, s.tokens) as template from s left join templ on s.tokens = templ.tokens),
+rec as (select n, a, b, c, template, arg_min(body, id) as owner from st group by all having count(distinct body) >= 5),
+drops as (select distinct st.body, st.l from st join rec on st.template = rec.template and st.n = rec.n and st.a = rec.a and st.b is not distinct from rec.b and st.c is not distinct from rec.c where st.body <> rec.owner),
+gone as (select body, list(l) as ls from drops group by body)
+select doc_id, case when ls is null then text else array_to_string(list_filter(string_split(text, chr(10)), lambda x: not list_contains(ls, x)), chr(10)) end as text, coalesce(cast(len(ls) as integer), 0) as n_dropped from documents left join gone on text = body
+"""
+
+
+def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts, and their likeness."""
+    return fingerprint.neighbours(table(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as WARC archives and read back by the salvage reader."""
     path = scratch(spark, "warc")
@@ -81,5 +110,5 @@ copies as (select *, (piece - 1) * 96 + unnest(range(1, n + 1)) as mix_copy from
 select doc_id, text, lang, source, n_chars, round(rate, 9) as mix_rate, cast(mix_copy as bigint) as mix_copy, md5('17o|' || coalesce(cast(doc_id as varchar), '') || '|' || mix_copy) as mix_order from copies
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontam, op2_quality, op3_langid, op5_toxicity, op7_warc, op10_mixing)}
-SQL: dict[str, str] = {"op7_warc": OP7_SQL, "op10_mixing": OP10_SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontam, op2_quality, op3_langid, op5_toxicity, op6_linededup, op7_warc, op8_fingerprint, op10_mixing)}
+SQL: dict[str, str] = {"op6_linededup": OP6_SQL, "op7_warc": OP7_SQL, "op10_mixing": OP10_SQL}
