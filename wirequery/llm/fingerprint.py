@@ -1,11 +1,11 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
-A text is cut into small paragraphs: at line ends, and after words whose hash is 0 modulo WORDS, so an edit changes only
-paragraphs near it. Each distinct paragraph's digest goes to HASHES cells, one in each part of the table; a cell holds a
+A text is cut into small paragraphs: at line ends, and after words whose hash is 0 modulo WORDS and after LONGEST words, so
+an edit changes only paragraphs near it. Each paragraph's digest (and its number, if it is repeated) goes to HASHES cells, one in each part of the table; a cell holds a
 count, a sum of digests and a sum of checks. Two sketches of a size are subtracted cell by cell; peeling cells of count
 +1 or -1 whose check fits recovers the digests that differ. If cells are left over, the sketches are made again twice as
 large, up to a size at which peeling is sure for all but vanishing odds; what even that leaves is counted exactly.
-Likeness is common / all distinct paragraphs of the two texts (1 for two texts without words). Null counts as empty.
+Likeness is common / all paragraphs of the two texts (1 for two texts without words). Null counts as empty.
 The fingerprint is the sketch of CELLS cells as text, led by the number of digests.
 
 All pairs of a batch are subtracted and peeled together in NumPy.
@@ -25,12 +25,12 @@ from pyspark.sql import functions as F
 from . import text as T
 from .common import partitions
 
-WORDS, HASHES, CELLS, LARGEST = 4, 3, 24, 1 << 22
+WORDS, LONGEST, HASHES, CELLS, LARGEST = 4, 8, 3, 24, 1 << 22
 _SALT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
 def paragraphs(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (digest, text), by text. A text without words has none."""
+    """(digest, text), by text; the k-th copy of a paragraph has its own digest. A text without words has none."""
     h, starts, ends, first = T.words(data, offs)
     if not len(h):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -38,8 +38,14 @@ def paragraphs(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarr
     lines = np.concatenate(([0], np.cumsum(data == 10)))[starts]
     new = np.concatenate(([True], (owner[1:] != owner[:-1]) | (lines[1:] != lines[:-1]) | (h[:-1] % np.uint64(WORDS) == 0)))
     at = np.flatnonzero(new)
-    place = (np.arange(len(h)) - np.repeat(at, np.diff(np.append(at, len(h))))).astype(np.uint64)
-    return T.distinct(T.mix(np.add.reduceat(T.mix(h + place * _SALT[0]), at)), owner[at])
+    place = np.arange(len(h)) - np.repeat(at, np.diff(np.append(at, len(h))))
+    at, place = np.flatnonzero(place % LONGEST == 0), (place % LONGEST).astype(np.uint64)
+    digest, owner = T.mix(np.add.reduceat(T.mix(h + place * _SALT[0]), at)), owner[at]
+    order = np.lexsort((digest, owner))
+    digest, owner = digest[order], owner[order]
+    run = np.flatnonzero(np.concatenate(([True], (digest[1:] != digest[:-1]) | (owner[1:] != owner[:-1]))))
+    nth = np.arange(len(digest)) - np.repeat(run, np.diff(np.append(run, len(digest))))
+    return T.mix(digest + nth.astype(np.uint64) * _SALT[1]), owner
 
 
 def cells(digest: np.ndarray, base: np.ndarray, size: np.ndarray) -> np.ndarray:
