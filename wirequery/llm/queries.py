@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, fingerprint, langid, linededup, mixing, quality, toxicity, warc
+from . import decontam, fingerprint, langid, linededup, mixing, ppm, quality, toxicity, warc
 from .common import fold, scratch, table
 
 
@@ -71,6 +71,11 @@ def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.neighbours(table(spark, sf_dir, "documents"))
 
 
+def op9_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by the byte model and the word model of those outside the held-out fold."""
+    return ppm.score(table(spark, sf_dir, "documents"), fold("doc_id", 7) == 2)
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as WARC archives and read back by the salvage reader."""
     path = scratch(spark, "warc")
@@ -110,5 +115,5 @@ copies as (select *, (piece - 1) * 96 + unnest(range(1, n + 1)) as mix_copy from
 select doc_id, text, lang, source, n_chars, round(rate, 9) as mix_rate, cast(mix_copy as bigint) as mix_copy, md5('17o|' || coalesce(cast(doc_id as varchar), '') || '|' || mix_copy) as mix_order from copies
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontam, op2_quality, op3_langid, op5_toxicity, op6_linededup, op7_warc, op8_fingerprint, op10_mixing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontam, op2_quality, op3_langid, op5_toxicity, op6_linededup, op7_warc, op8_fingerprint, op9_ppm, op10_mixing)}
 SQL: dict[str, str] = {"op6_linededup": OP6_SQL, "op7_warc": OP7_SQL, "op10_mixing": OP10_SQL}
