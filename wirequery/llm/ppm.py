@@ -1,8 +1,8 @@
 """Language-model scoring by prediction by partial matching over bytes, beside a unigram word model.
 
 The model is the trie of all byte contexts of up to ORDER bytes with the bytes that follow them in the training texts.
-A byte's probability is taken in its longest context; unseen there, the coder escapes (method C: distinct followers /
-(occurrences + distinct)) to the next shorter context, in which the bytes already ruled out are excluded, and at last to
+A byte's probability is taken in its longest context; unseen there, the coder escapes (method D: half the distinct
+followers / occurrences; a seen byte loses half a count) to the next shorter context, in which the bytes already ruled out are excluded, and at last to
 a uniform choice. Texts are framed by a start byte (0xFE, ORDER times) and an end byte (0xFF), which UTF-8 never uses.
 
 How it scales: each partition of docs is a block. A block's distinct (context, byte) pairs and words are counted once;
@@ -137,9 +137,9 @@ class Trie:
 def step(out: np.ndarray, todo: np.ndarray, n: np.ndarray, total: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Code what a context has seen, escape for the rest; total, kinds: without what is excluded."""
     hit, rest = n > 0, n <= 0
-    out[todo[hit]] += np.log10(n[hit] / (total[hit] + kinds[hit]))
+    out[todo[hit]] += np.log10((n[hit] - 0.5) / total[hit])
     esc = rest & (kinds > 0)  # a context with nothing left to offer is skipped at no cost
-    out[todo[esc]] += np.log10(kinds[esc] / (total[esc] + kinds[esc]))
+    out[todo[esc]] += np.log10(kinds[esc] / (2 * total[esc]))
     return hit, rest
 
 
