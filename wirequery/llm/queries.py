@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, fingerprint, langid, linededup, mixing, ppm, quality, toxicity, warc
+from . import decontam, fingerprint, jaccard, langid, linededup, mixing, ppm, quality, toxicity, warc
 from .common import fold, scratch, table
 
 
@@ -34,6 +34,26 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "x.lang_pred", "x.score", "x.runner_up", "x.ambiguous")
 
 
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents linked at a Jaccard similarity of 0.75 of 5-word shingles."""
+    return jaccard.groups(table(spark, sf_dir, "documents"), percent=75)
+
+
+OP4_SQL = r"""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+s as (select doc_id, list_distinct(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')] else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as s from w),
+c as (select s, len(s) as n, min(doc_id) as id, list(doc_id) as ids from (select doc_id, list_sort(s) as s from s) group by s),
+t as (select id, n, unnest(s) as t from c),
+i as (select a.id as a, b.id as b, any_value(a.n) as n, any_value(b.n) as m, count(*) as x from t a join t b on a.t = b.t and a.id < b.id and 4 * a.n >= 3 * b.n and 4 * b.n >= 3 * a.n group by 1, 2),
+l as (select a, b from i where 100 * x >= 75 * (n + m - x)),
+e as (select a, b from l union select b, a from l),
+r(node, root) as (select a, a from e union select e.b, r.root from r join e on r.node = e.a where r.root < e.b),
+roots as (select node, min(root) as root from r group by node)
+select c2.doc_id, c2.n as n_shingles, case when c2.n = 0 then c2.doc_id else coalesce(roots.root, c2.id) end as component_id
+from (select id, n, unnest(ids) as doc_id from c) c2 left join roots on c2.id = roots.node
+"""
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from labels outside the held-out fold."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -115,5 +135,5 @@ copies as (select *, (piece - 1) * 96 + unnest(range(1, n + 1)) as mix_copy from
 select doc_id, text, lang, source, n_chars, round(rate, 9) as mix_rate, cast(mix_copy as bigint) as mix_copy, md5('17o|' || coalesce(cast(doc_id as varchar), '') || '|' || mix_copy) as mix_order from copies
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontam, op2_quality, op3_langid, op5_toxicity, op6_linededup, op7_warc, op8_fingerprint, op9_ppm, op10_mixing)}
-SQL: dict[str, str] = {"op6_linededup": OP6_SQL, "op7_warc": OP7_SQL, "op10_mixing": OP10_SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontam, op2_quality, op3_langid, op4_jaccard, op5_toxicity, op6_linededup, op7_warc, op8_fingerprint, op9_ppm, op10_mixing)}
+SQL: dict[str, str] = {"op4_jaccard": OP4_SQL, "op6_linededup": OP6_SQL, "op7_warc": OP7_SQL, "op10_mixing": OP10_SQL}
