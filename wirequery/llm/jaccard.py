@@ -198,7 +198,14 @@ def groups(docs: DataFrame, percent: int = 75, key: str = "doc_id", text: str =
 
 
 def one_each(docs: DataFrame, percent: int = 75, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with one row of each component: that of the least key. Rows without words all stay, once for each key and text."""
-    group = cut(groups(docs, percent, key, text), "groups").filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__wq_id")).distinct()
-    kept = docs.join(group, F.col(key).cast("long") == F.col("__wq_id"), "left_semi")
-    return kept.dropDuplicates([key])
+    """docs with one row of each component: that of the least key. Rows without words all stay, as do rows with null keys.
+
+    Of several rows with the same key one stays.
+    """
+    group = cut(groups(docs, percent, key, text), "groups")
+    first = group.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__wq_id"))
+    repeated = first.groupBy("__wq_id").count().filter("count > 1").limit(1).count() > 0
+    kept = docs.join(first, F.col(key).cast("long") == F.col("__wq_id"), "left_semi")
+    if repeated:  # else the rows need not be shuffled for it
+        kept = kept.dropDuplicates([key])
+    return kept.unionByName(docs.filter(F.col(key).isNull()))
