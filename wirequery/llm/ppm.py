@@ -46,10 +46,48 @@ def pairs(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (key << _U8) | frame[place], owner
 
 
-def _add(held: list[np.ndarray], key: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
-    key, n = np.concatenate((held[0], key)), np.concatenate((held[1], n))
-    u, inverse = np.unique(key, return_inverse=True)
-    return [u, np.bincount(inverse, n, len(u)).astype(np.int64)]
+def _tally(key: np.ndarray, learn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct keys, training occurrences); the flag goes in a lowest bit, so one plain sort does."""
+    x = (key << np.uint64(1)) | learn
+    x.sort()
+    new = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1]))) if len(x) else np.zeros(0, np.int64)
+    u, n = x[new], np.diff(np.append(new, len(x)))
+    n[(u & np.uint64(1)) == 0] = 0
+    return _merge(u >> np.uint64(1), n)
+
+
+def _merge(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sum n by key; keys come out sorted."""
+    order = np.argsort(key, kind="stable")  # merges sorted runs
+    key, n = key[order], n[order]
+    if not len(key):
+        return key, n
+    new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    return key[new], np.add.reduceat(n, new)
+
+
+class Table:
+    """Lookup of sorted keys through a hash table of their places; keys that collide are searched for."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.keys, self.values = keys, values
+        self.shift = np.uint64(64 - max(10, int(8 * len(keys) + 1).bit_length()))
+        self.place = np.zeros(1 << (64 - int(self.shift)), np.int32)
+        self.place[self._slot(keys)] = np.arange(len(keys), dtype=np.int32)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def find(self, wanted: np.ndarray) -> np.ndarray:
+        if not len(wanted):
+            return self.values[:0]
+        if len(self.keys):
+            k = self.place[self._slot(wanted)]
+            lost = np.flatnonzero(self.keys[k] != wanted)
+            k[lost] = np.minimum(np.searchsorted(self.keys, wanted[lost]), len(self.keys) - 1)
+            if (self.keys[k[lost]] == wanted[lost]).all():
+                return self.values[k]
+        raise RuntimeError("docs changed its partitions between two reads; write it to a table first")
 
 
 def _count(batches):
@@ -59,27 +97,31 @@ def _count(batches):
         block = batch.column(0)[0].as_py() if len(batch) else 0
         data, offs = T.raw(batch.column(1))
         train = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
-        for i, j in T.slices(offs, 4 << 20):
+        for i, j in T.slices(offs):
             part, local = data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]
             key, owner = pairs(part, local)
             h, _, _, first = T.words(part, local)
             word_owner = np.repeat(np.arange(j - i), np.diff(first))
             low = ((key >> np.uint64(24)) << _U8) | (key & np.uint64(255))
             learn = train[i:j]
-            for kind, k, o in ((0, key, owner), (1, h, word_owner), (2, low[learn[owner]], owner[learn[owner]])):
-                u, inverse = np.unique(k, return_inverse=True)
-                n = np.bincount(inverse, learn[o], len(u)).astype(np.int64)
-                held.setdefault((block, kind), []).append((u, n))
-                if len(held[block, kind]) == 8:
-                    held[block, kind] = [tuple(_add([np.zeros(0, np.uint64), np.zeros(0, np.int64)], *map(np.concatenate, zip(*held[block, kind], strict=True))))]
+            for kind, k, o in ((0, key, owner), (1, _word(h), word_owner), (2, low[learn[owner]], owner[learn[owner]])):
+                parts = held.setdefault((block, kind), [])
+                parts.append(_tally(k, learn[o]))
+                if len(parts) == 12:
+                    parts[:] = [_merge(*map(np.concatenate, zip(*parts, strict=True)))]
             held.setdefault((block, 3), []).append((np.zeros(1, np.uint64), np.array([learn.sum()])))
     for (block, kind), parts in held.items():
-        u, n = _add([np.zeros(0, np.uint64), np.zeros(0, np.int64)], *map(np.concatenate, zip(*parts, strict=True)))
+        u, n = _merge(*map(np.concatenate, zip(*parts, strict=True)))
         for i in range(0, len(u), 100_000):
             m = len(u[i : i + 100_000])
             yield pa.RecordBatch.from_arrays([pa.array(np.full(m, block, np.int32)), pa.array(np.full(m, kind, np.int32)), pa.array(u[i : i + 100_000].view(np.int64)), pa.array(n[i : i + 100_000])], ["block", "kind", "key", "n"])
 
 
+def _word(h: np.ndarray) -> np.ndarray:
+    """63 bits of a word's hash, which leave room for a flag."""
+    return h >> np.uint64(1)
+
+
 def _groups(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(distinct ids, index of each) of sorted ids."""
     if not len(ids):
@@ -199,28 +241,22 @@ SCHEMA = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, trai
 def _sum(tokens: int, kinds: int, ends: int):
     bottom = tokens + kinds + 1
 
-    def find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-        k = np.minimum(np.searchsorted(keys, wanted), max(len(keys) - 1, 0))
-        if len(wanted) and (not len(keys) or (keys[k] != wanted).any()):
-            raise RuntimeError("docs changed its partitions between two reads; write it to a table first")
-        return values[k]
-
     def run(docs: pa.Table, model: pa.Table) -> pa.Table:
         kind, key, value = (model.column(c).to_numpy() for c in ("kind", "key", "value"))
         key = key.view(np.uint64)
         order = np.lexsort((key, kind))
         key, value, split = key[order], value[order], int((kind == 0).sum())
-        price, count = (key[:split], value[:split]), (key[split:], value[split:])
+        price, count = Table(key[:split], value[:split]), Table(key[split:], value[split:])
         out: list[list] = [[] for _ in range(4)]
-        for batch in docs.select(["text"]).to_batches(max_chunksize=2000):
+        for batch in docs.select(["text"]).to_batches(max_chunksize=1000):
             data, offs = T.raw(batch.column(0))
-            for i, j in T.slices(offs, 4 << 20):
+            for i, j in T.slices(offs):
                 part, local, m = data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], j - i
                 k, owner = pairs(part, local)
-                score = -np.bincount(owner, find(*price, k), m) / UNIT
+                score = -np.bincount(owner, price.find(k), m) / UNIT
                 h, _, _, first = T.words(part, local)
                 owner = np.repeat(np.arange(m), np.diff(first))
-                c = find(*count, h)
+                c = count.find(_word(h))
                 base = np.bincount(owner, np.log10((c + 1) / bottom), m) + math.log10((ends + 1) / bottom)
                 for o, x in zip(out, (np.diff(first) + 1, np.bincount(owner, c > 0, m) + (ends > 0), base, score), strict=True):
                     o.append(x)
