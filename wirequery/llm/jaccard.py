@@ -8,8 +8,8 @@ single prefix shingles into inverted lists. The boundary is the size that costs
 length of the lists. The order takes rarer shingles first, by counts in hashed buckets over all texts, then the hash:
 any order is exact, this one keeps widespread shingles out of the prefixes.
 
-Lists are not turned into all pairs. First, each class is linked to the two most voted of its lists' smallest sets and its
-predecessors by size, which joins groups of copies with a number of checks in proportion to their size. Only then are the
+Lists are not turned into all pairs. In ROUNDS rounds each class is checked with up to three partners that its lists vote
+for, which joins groups of copies with a number of checks in proportion to their size. Only then are the
 pairs listed that share a key, fit in size and position, and are still in different components. All candidates are
 checked exactly on their whole texts; no link between different components is lost, so the components are exact.
 
@@ -30,7 +30,7 @@ from . import text as T
 from .common import cut, small
 from .components import components
 
-SHINGLE, BITS, LIGHTEST, HEAVIEST = 5, 18, 4, 64
+SHINGLE, BITS, LIGHTEST, HEAVIEST, ROUNDS = 5, 18, 4, 64, 4
 
 
 def needed(n, percent: int):
@@ -168,27 +168,39 @@ def groups(docs: DataFrame, percent: int = 75, key: str = "doc_id", text: str =
 
     def check(pairs: DataFrame) -> DataFrame:
         a, b = (texts.select(F.col("cls").alias(k), F.col("text").alias(f"t{k}")) for k in ("a", "b"))
-        return cut(pairs.select("a", "b").distinct().join(a, "a").join(b, "b").filter(link.asNondeterministic()("ta", "tb")).select("a", "b"), "checked")
-
-    # Round 1: votes for the smallest set of each list and for the next smaller one.
-    line = by.orderBy("n", "cls")
-    low = lists.groupBy("key").agg(F.min(F.struct("n", "cls")).alias("m"))
-    voted = lists.join(low, "key").select("cls", "n", F.col("m.cls").alias("other"), F.col("m.n").alias("m"), F.lit(0).alias("way"))
-    voted = voted.unionByName(lists.select("cls", "n", F.lag("cls").over(line).alias("other"), F.lag("n").over(line).alias("m"), F.lit(1).alias("way")))
-    voted = voted.filter((F.col("cls") != F.col("other")) & near(F.col("n"), F.col("m"))).groupBy("cls", "other", "way").count()
-    voted = voted.groupBy("cls", "way").agg(F.max_by("other", F.struct("count", "other")).alias("other"))
-    links = check(voted.select(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")))
-    roots = components(links)
-    # Round 2: all pairs of a list that fit and are not yet together.
-    placed = lists.join(roots, F.col("cls") == F.col("node"), "left").select("key", "cls", "n", "pos", F.coalesce("root", "cls").alias("root"))
-    apart = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
-    placed = cut(placed.join(apart, "key", "left_semi"), "apart")
+        return cut(pairs.select("a", "b").distinct().join(a, "a").join(b, "b").select("a", "b", link.asNondeterministic()("ta", "tb").alias("ok")), "checked")
+
+    def vote(placed: DataFrame, tried: DataFrame | None) -> DataFrame:
+        """For each class up to three partners of another component: by shared keys, among the smallest sets of its lists,
+        the next smaller ones, and the next ones in a random order."""
+        low = placed.groupBy("key").agg(F.min(F.struct("n", "cls", "root")).alias("m"))
+        rows = [placed.join(low, "key").select("cls", "n", "root", F.col("m.cls").alias("other"), F.col("m.n").alias("m"), F.col("m.root").alias("o"), F.lit(0).alias("way"))]
+        for way, order in ((1, ("n", "cls")), (2, (F.xxhash64("cls", F.lit(round_)), "cls"))):
+            line = by.orderBy(*order)
+            rows.append(placed.select("cls", "n", "root", F.lag("cls").over(line).alias("other"), F.lag("n").over(line).alias("m"), F.lag("root").over(line).alias("o"), F.lit(way).alias("way")))
+        voted = rows[0].unionByName(rows[1]).unionByName(rows[2]).filter((F.col("root") != F.col("o")) & near(F.col("n"), F.col("m")))
+        voted = voted.groupBy("cls", "other", "way").count().withColumn("a", F.least("cls", "other")).withColumn("b", F.greatest("cls", "other"))
+        voted = voted.join(tried, ["a", "b"], "left_anti") if tried is not None else voted
+        voted = voted.groupBy("cls", "way").agg(F.max_by("other", F.struct("count", "other")).alias("other"))
+        return voted.select(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b"))
+
+    # Rounds of votes, which join most of what belongs together.
+    placed, tried, roots = lists.withColumn("root", F.col("cls")), None, None
+    for round_ in range(ROUNDS):
+        new = check(vote(placed, tried))
+        tried = new if tried is None else tried.unionByName(new)
+        roots = components(new.filter("ok").select("a", "b") if roots is None else new.filter("ok").select("a", "b").unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+        placed = lists.join(roots, F.col("cls") == F.col("node"), "left").select("key", "cls", "n", "pos", F.coalesce("root", "cls").alias("root"))
+        apart = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
+        placed = cut(placed.join(apart, "key", "left_semi"), "apart")
+    # Then all pairs of a list that fit, are not yet together and not yet checked.
     x, y = (placed.select("key", *[F.col(c).alias(f"{c}{k}") for c in ("cls", "n", "pos", "root")]) for k in (1, 2))
     most = 1 + F.least(F.col("n1") - F.col("pos1") - 1, F.col("n2") - F.col("pos2") - 1)  # if this is the first shared shingle
     fits = (100 + percent) * most >= percent * (F.col("n1") + F.col("n2"))
     rest = x.join(y, "key").filter((F.col("cls1") < F.col("cls2")) & (F.col("root1") != F.col("root2")) & near(F.col("n1"), F.col("n2")) & fits)
-    more = check(rest.select(F.col("cls1").alias("a"), F.col("cls2").alias("b")))
-    roots = components(links.unionByName(more))
+    rest = rest.select(F.col("cls1").alias("a"), F.col("cls2").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    more = check(rest)
+    roots = components(more.filter("ok").select("a", "b").unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
     least = classes.join(roots, F.col("cls") == F.col("node"), "left").withColumn("root", F.coalesce("root", "cls"))
     joined = roots.select(F.col("root").alias("r")).distinct().join(least, F.col("r") == F.col("root")).groupBy("root").agg(F.min("id").alias("low"))
     # The least key of each class that isn't alone or has several members; all other rows are their own component.
