@@ -73,7 +73,7 @@ def read(spark: SparkSession, name: str, path: str, schema: S.StructType) -> Dat
         return _fields(lines.filter(F.col("value") != first[0].value) if headed else lines, schema)
     # A CSV row with too few or too many fields, or a field of a wrong type, fails.
     raw = S.StructType([S.StructField(f.name, f.dataType if not isinstance(f.dataType, (S.ArrayType, S.MapType, S.StructType)) else S.StringType()) for f in schema])
-    found = spark.read.schema(raw).csv(path, header=headed, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True, mode="FAILFAST", timestampNTZFormat="yyyy-MM-dd HH:mm:ss[.SSSSSS]", enforceSchema=True)
+    found = spark.read.schema(raw).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").csv(path, header=headed, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True, mode="FAILFAST", enforceSchema=True)
     return found.select(*[codec.decode(F.col(f.name), (f.metadata or {}).get("ch_type") or name_of(f.dataType)).alias(f.name) if raw[f.name].dataType != f.dataType else F.col(f.name) for f in schema])
 
 
