@@ -10,7 +10,9 @@ any order is exact, this one keeps widespread shingles out of the prefixes.
 
 Lists are not turned into all pairs. In ROUNDS rounds each class is checked with up to three partners that its lists vote
 for, which joins groups of copies with a number of checks in proportion to their size. Only then are the
-pairs listed that share a key, fit in size and position, and are still in different components. All candidates are
+pairs listed that share a key, fit in size, position and parity, and are still in different components. Parity: each
+shingle flips one of 64 * PARITY bits of its class, so no more bits differ between two classes than shingles do, and a
+pair with more differing bits than a link allows is no link. All candidates are
 checked exactly on their whole texts; no link between different components is lost, so the components are exact.
 
 Texts without words are linked with nothing. Null counts as empty. 64-bit hashes stand for shingles and classes (a false
@@ -19,18 +21,20 @@ merger among 10^9 classes has odds below 10^-1). Rows that repeat a text, or a k
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from . import text as T
 from .common import cut, small
 from .components import components
 
-SHINGLE, BITS, LIGHTEST, HEAVIEST, ROUNDS = 5, 18, 4, 64, 4
+SHINGLE, BITS, LIGHTEST, HEAVIEST, ROUNDS, PARITY = 5, 18, 4, 64, 4, 16
 
 
 def needed(n, percent: int):
@@ -112,13 +116,26 @@ def _keys(held, light: int, percent: int):
                     a, b = _two(int(min(n[d], n[d] - needed(n[d], percent) + 2)))
                     v = value[first[d] : first[d] + n[d]]
                     x, y = v[a], v[b]
-                    parts.append((T.mix(np.minimum(x, y) * np.uint64(0x9E3779B97F4A7C15) + np.maximum(x, y)), np.full(len(a), cls[d]), np.full(len(a), n[d]), np.zeros(len(a), np.int64)))
+                    parts.append((T.mix(np.minimum(x, y) * np.uint64(0x9E3779B97F4A7C15) + np.maximum(x, y)), np.full(len(a), cls[d]), np.full(len(a), n[d]), b - 1))
                 key, c, s, p = (np.concatenate(x) for x in zip(*parts, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(c), pa.array(s.astype(np.int32)), pa.array(p.astype(np.int32))], ["key", "cls", "n", "pos"])
 
     return run
 
 
+@F.arrow_udf(ArrayType(LongType()))
+def parity(texts: pa.Array) -> pa.Array:
+    """The parity bits of each text's set."""
+    data, offs = T.raw(texts)
+    out = np.zeros((len(offs) - 1, PARITY), np.uint64)
+    for i, j in T.slices(offs):
+        value, owner, _, _ = sets(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
+        bit = T.mix(value + np.uint64(0x2545F4914F6CDD1D)) % np.uint64(64 * PARITY)
+        np.bitwise_xor.at(out, (i + owner, (bit >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (bit & np.uint64(63)))
+    ends = np.arange(0, out.size + 1, PARITY, dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(out.view(np.int64).ravel()))
+
+
 def overlaps(percent: int):
     """A column function: whether two texts link."""
 
@@ -194,10 +211,14 @@ def groups(docs: DataFrame, percent: int = 75, key: str = "doc_id", text: str =
         apart = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
         placed = cut(placed.join(apart, "key", "left_semi"), "apart")
     # Then all pairs of a list that fit, are not yet together and not yet checked.
-    x, y = (placed.select("key", *[F.col(c).alias(f"{c}{k}") for c in ("cls", "n", "pos", "root")]) for k in (1, 2))
+    bits = placed.select("cls").distinct().join(texts, "cls").select("cls", parity("text").alias("bits"))
+    placed = cut(placed.join(bits, "cls"), "parity")
+    x, y = (placed.select("key", *[F.col(c).alias(f"{c}{k}") for c in ("cls", "n", "pos", "root", "bits")]) for k in (1, 2))
     most = 1 + F.least(F.col("n1") - F.col("pos1") - 1, F.col("n2") - F.col("pos2") - 1)  # if this is the first shared shingle
     fits = (100 + percent) * most >= percent * (F.col("n1") + F.col("n2"))
-    rest = x.join(y, "key").filter((F.col("cls1") < F.col("cls2")) & (F.col("root1") != F.col("root2")) & near(F.col("n1"), F.col("n2")) & fits)
+    differ = reduce(add, [F.bit_count(F.col("bits1")[i].bitwiseXOR(F.col("bits2")[i])) for i in range(PARITY)])
+    alike = (100 + percent) * differ <= (100 - percent) * (F.col("n1") + F.col("n2"))
+    rest = x.join(y, "key").filter((F.col("cls1") < F.col("cls2")) & (F.col("root1") != F.col("root2")) & near(F.col("n1"), F.col("n2")) & fits & alike)
     rest = rest.select(F.col("cls1").alias("a"), F.col("cls2").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     more = check(rest)
     roots = components(more.filter("ok").select("a", "b").unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
