@@ -34,7 +34,7 @@ from . import text as T
 from .common import cut, small
 from .components import components
 
-SHINGLE, BITS, LIGHTEST, HEAVIEST, ROUNDS, PARITY = 5, 18, 4, 64, 4, 16
+SHINGLE, BITS, LIGHTEST, HEAVIEST, ROUNDS, PARITY = 5, 18, 4, 64, 2, 8
 
 
 def needed(n, percent: int):
@@ -181,45 +181,55 @@ def groups(docs: DataFrame, percent: int = 75, key: str = "doc_id", text: str =
     wanted = lists.select("cls").distinct().join(classes, "cls").select("cls", F.col("id").alias("wid"), F.col("th").alias("wth"))
     texts = rows.join(small(cut(wanted, "wanted")), F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth"))).groupBy("cls").agg(F.first("text").alias("text"))
     texts = cut(texts, "texts")
+    bits = cut(texts.select("cls", parity("text").alias("bits")), "parity")
     link = overlaps(percent)
 
+    def alike(n1: Column, bits1: Column, n2: Column, bits2: Column) -> Column:
+        differ = reduce(add, [F.bit_count(bits1[i].bitwiseXOR(bits2[i])) for i in range(PARITY)])
+        return (100 + percent) * differ <= (100 - percent) * (n1 + n2)
+
     def check(pairs: DataFrame) -> DataFrame:
         a, b = (texts.select(F.col("cls").alias(k), F.col("text").alias(f"t{k}")) for k in ("a", "b"))
-        return cut(pairs.select("a", "b").distinct().join(a, "a").join(b, "b").select("a", "b", link.asNondeterministic()("ta", "tb").alias("ok")), "checked")
+        return cut(pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", link.asNondeterministic()("ta", "tb").alias("ok")), "checked")
+
+    def apart(roots: DataFrame | None) -> DataFrame:
+        """The lists whose classes are of several components, with the component of each class."""
+        if roots is None:
+            return lists.withColumn("root", F.col("cls"))
+        placed = lists.join(small(roots), F.col("cls") == F.col("node"), "left").select("key", "cls", "n", "pos", F.coalesce("root", "cls").alias("root"))
+        return placed.withColumn("lo", F.min("root").over(by)).withColumn("hi", F.max("root").over(by)).filter("lo <> hi").drop("lo", "hi")
 
-    def vote(placed: DataFrame, tried: DataFrame | None) -> DataFrame:
+    def vote(placed: DataFrame, tried: DataFrame | None, round_: int) -> DataFrame:
         """For each class up to three partners of another component: by shared keys, among the smallest sets of its lists,
-        the next smaller ones, and the next ones in a random order."""
-        low = placed.groupBy("key").agg(F.min(F.struct("n", "cls", "root")).alias("m"))
-        rows = [placed.join(low, "key").select("cls", "n", "root", F.col("m.cls").alias("other"), F.col("m.n").alias("m"), F.col("m.root").alias("o"), F.lit(0).alias("way"))]
-        for way, order in ((1, ("n", "cls")), (2, (F.xxhash64("cls", F.lit(round_)), "cls"))):
-            line = by.orderBy(*order)
-            rows.append(placed.select("cls", "n", "root", F.lag("cls").over(line).alias("other"), F.lag("n").over(line).alias("m"), F.lag("root").over(line).alias("o"), F.lit(way).alias("way")))
-        voted = rows[0].unionByName(rows[1]).unionByName(rows[2]).filter((F.col("root") != F.col("o")) & near(F.col("n"), F.col("m")))
-        voted = voted.groupBy("cls", "other", "way").count().withColumn("a", F.least("cls", "other")).withColumn("b", F.greatest("cls", "other"))
-        voted = voted.join(tried, ["a", "b"], "left_anti") if tried is not None else voted
-        voted = voted.groupBy("cls", "way").agg(F.max_by("other", F.struct("count", "other")).alias("other"))
-        return voted.select(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b"))
+        the next smaller ones, and the next ones in a random order. With the sizes of both, and whether parity lets them link."""
+        me, size, chance = F.struct("cls", "n", "root"), by.orderBy("n", "cls"), by.orderBy(F.xxhash64("cls", F.lit(round_)), "cls")
+        ways = F.array(F.first(me).over(size), F.lag(me).over(size), F.lag(me).over(chance))
+        voted = placed.select("cls", "n", "root", ways.alias("ways")).select("cls", "n", "root", F.posexplode("ways").alias("way", "o"))
+        voted = voted.filter((F.col("root") != F.col("o.root")) & near(F.col("n"), F.col("o.n"))).select("cls", "n", "way", F.col("o.cls").alias("other"), F.col("o.n").alias("m"))
+        voted = voted.groupBy("cls", "other", "way").agg(F.count(F.lit(1)).alias("count"), F.first("n").alias("n"), F.first("m").alias("m"))
+        voted = voted.withColumn("a", F.least("cls", "other")).withColumn("b", F.greatest("cls", "other"))
+        voted = voted.join(tried.select("a", "b"), ["a", "b"], "left_anti") if tried is not None else voted
+        voted = voted.groupBy("cls", "way").agg(F.max_by(F.struct("a", "b", (F.col("n") + F.col("m")).alias("both")), F.struct("count", "other")).alias("o"))
+        pairs = voted.select("o.*").distinct()
+        for k in ("a", "b"):
+            pairs = pairs.join(bits.select(F.col("cls").alias(k), F.col("bits").alias(f"bits{k}")), k)
+        return cut(pairs.select("a", "b", alike(F.col("both"), F.col("bitsa"), F.lit(0), F.col("bitsb")).alias("alike")), "voted")
 
     # Rounds of votes, which join most of what belongs together.
-    placed, tried, roots = lists.withColumn("root", F.col("cls")), None, None
+    tried, roots = None, None
     for round_ in range(ROUNDS):
-        new = check(vote(placed, tried))
+        new = vote(apart(roots), tried, round_)
         tried = new if tried is None else tried.unionByName(new)
-        roots = components(new.filter("ok").select("a", "b") if roots is None else new.filter("ok").select("a", "b").unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
-        placed = lists.join(roots, F.col("cls") == F.col("node"), "left").select("key", "cls", "n", "pos", F.coalesce("root", "cls").alias("root"))
-        apart = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
-        placed = cut(placed.join(apart, "key", "left_semi"), "apart")
+        ok = check(new.filter("alike")).filter("ok").select("a", "b")
+        roots = components(ok if roots is None else ok.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
     # Then all pairs of a list that fit, are not yet together and not yet checked.
-    bits = placed.select("cls").distinct().join(texts, "cls").select("cls", parity("text").alias("bits"))
-    placed = cut(placed.join(bits, "cls"), "parity")
+    placed = cut(apart(roots).join(bits, "cls"), "apart")
     x, y = (placed.select("key", *[F.col(c).alias(f"{c}{k}") for c in ("cls", "n", "pos", "root", "bits")]) for k in (1, 2))
     most = 1 + F.least(F.col("n1") - F.col("pos1") - 1, F.col("n2") - F.col("pos2") - 1)  # if this is the first shared shingle
     fits = (100 + percent) * most >= percent * (F.col("n1") + F.col("n2"))
-    differ = reduce(add, [F.bit_count(F.col("bits1")[i].bitwiseXOR(F.col("bits2")[i])) for i in range(PARITY)])
-    alike = (100 + percent) * differ <= (100 - percent) * (F.col("n1") + F.col("n2"))
-    rest = x.join(y, "key").filter((F.col("cls1") < F.col("cls2")) & (F.col("root1") != F.col("root2")) & near(F.col("n1"), F.col("n2")) & fits & alike)
-    rest = rest.select(F.col("cls1").alias("a"), F.col("cls2").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    may = near(F.col("n1"), F.col("n2")) & fits & alike(F.col("n1"), F.col("bits1"), F.col("n2"), F.col("bits2"))
+    rest = x.join(y, "key").filter((F.col("cls1") < F.col("cls2")) & (F.col("root1") != F.col("root2")) & may)
+    rest = rest.select(F.col("cls1").alias("a"), F.col("cls2").alias("b")).distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti")
     more = check(rest)
     roots = components(more.filter("ok").select("a", "b").unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
     least = classes.join(roots, F.col("cls") == F.col("node"), "left").withColumn("root", F.coalesce("root", "cls"))
