@@ -23,6 +23,8 @@ from . import text as T
 BUCKETS = 1 << 16
 #: Trigrams after which more text makes the margins no surer, and the score under which a result is ambiguous.
 CERTAIN, AMBIGUOUS = 40, 0.6
+#: Bytes of texts taken at a time; each takes up to some 200 bytes of memory meanwhile.
+SLICE = 1 << 18
 _LETTER = regex.compile(r"\p{L}")
 _FOLD = np.full(256, 32, np.uint32)
 _FOLD[97:123] = np.arange(97, 123)
@@ -59,7 +61,7 @@ def _count(batches):
     for batch in batches:
         data, offs = T.raw(batch.column(0))
         langs = np.array(batch.column(1).to_pylist(), object)
-        for i, j in T.slices(offs):
+        for i, j in T.slices(offs, SLICE):
             at = offs[i : j + 1] - offs[i]
             bucket, first = trigrams(data[offs[i] : offs[j]], at)
             owner = np.repeat(langs[i:j], np.diff(first))
@@ -123,7 +125,7 @@ def predict(model: Model | None, col: pa.Array) -> pa.StructArray:
     n = len(offs) - 1
     langs, score, second = np.full(n, "und", object), np.zeros(n), np.full(n, None, object)
     letters = np.zeros(n, bool)
-    for i, j in T.slices(offs) if model else ():
+    for i, j in T.slices(offs, SLICE) if model else ():
         at = offs[i : j + 1] - offs[i]
         part = data[offs[i] : offs[j]]
         ascii_ = np.concatenate(([0], np.cumsum((part | 32) - 97 < 26)))  # uint8 wraps below 'a'
