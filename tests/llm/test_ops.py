@@ -85,6 +85,63 @@ def test_line_templates(spark):
     assert got[0].startswith("the server") and got[5] == WORDS[5]
 
 
+def test_line_templates_of_frequent_values(spark):
+    line = "the server at {} answered the call from {} in good time today"
+    pairs = [(a, b) for a in WORDS[:8] for b in WORDS[8:16]]
+    for n in (8, 64):
+        rows = random.Random(n).sample(pairs, n)
+        d = spark.createDataFrame([(i, line.format(a, b) + f"\n{a} {b}") for i, (a, b) in enumerate(rows)], "doc_id long, text string")
+        got = {r.doc_id: r.text for r in linededup.dedup(d, 5).collect()}
+        assert got == {i: (line.format(a, b) + "\n" if i == 0 else "") + f"{a} {b}" for i, (a, b) in enumerate(rows)}
+
+
+def linededup_plain(rows, min_texts=5):
+    """The rule in plain Python: {text: lines to drop}."""
+    owner = {}
+    for i, t in rows:
+        if t:
+            owner[t] = min(owner.get(t, i), i)
+    tokens = lambda l: tuple("<*>" if any(c in "0123456789" for c in x) else x for x in l.split())
+    seen = {(t, l, tokens(l)) for t in owner for l in t.split("\n") if l.strip()}
+    leaf = lambda w: (len(w), *w[: linededup.LEAD])
+    texts, at = {}, {}
+    for t, _, w in seen:
+        texts.setdefault(leaf(w), set()).add(t)
+        for k, x in enumerate(w):
+            at.setdefault((leaf(w), k, x), []).append((t, w))
+
+    def template(w):
+        if len(texts[leaf(w)]) < min_texts or len(w) < linededup.GENERAL:
+            return w
+        n = [len({*at[leaf(w), k, x]}) if k >= linededup.LEAD else 1 << 48 for k, x in enumerate(w)]
+        n = [x if x >= min_texts else 0 for x in n]
+        support = sorted(n, reverse=True)[math.ceil(len(w) * linededup.CONSTANT) - 1]
+        return w if support < min_texts else tuple(x if m >= support * linededup.SHARE else "<*>" for x, m in zip(w, n))
+
+    groups, drop = {}, {}
+    for t, l, w in seen:
+        groups.setdefault((leaf(w), template(w)), set()).add((owner[t], t, l))
+    for g in groups.values():
+        if len({t for _, t, _ in g}) >= min_texts:
+            for _, t, l in g:
+                if t != min(g)[1]:
+                    drop.setdefault(t, set()).add(l)
+    return drop
+
+
+def test_line_dedup_against_plain_python(spark):
+    rng = random.Random(5)
+    fields = [["red", "blue"], WORDS[:4], WORDS[4:12], [f"x{k}" for k in range(9)]]
+    forms = ["we saw the {} car of {} go by {} at gate {} on that same day", "we saw the {} cat of {} sit by {} near hut {} on some other day", "log of the {} call {} to {} came {}"]
+    texts = [None, "", " \n "] + ["\n".join(rng.choice(forms).format(*map(rng.choice, fields)) for _ in range(rng.randrange(1, 4))) for _ in range(150)]
+    rows = list(enumerate(texts + texts[10:20]))
+    drop = linededup_plain(rows)
+    assert len(drop) > 100
+    want = {i: (t and "\n".join(l for l in t.split("\n") if l not in drop.get(t, ())), len(drop.get(t, ()))) for i, t in rows}
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: (r.text, r.n_dropped) for r in linededup.dedup(d.repartition(3), 5).collect()} == want
+
+
 def test_decontam(spark):
     item = "the quick brown fox jumps over the lazy dog near the old river bank at dawn"
     edited = item.replace("brown", "red").replace("old", "very old")

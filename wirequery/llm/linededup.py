@@ -1,10 +1,12 @@
 """Line dedup with a log-template tree of fixed depth, as a distributed computation.
 
 A line goes down the tree by its number of tokens and its LEAD leading tokens, in which tokens with digits count as
-variable; this gives its leaf. In leaves that many texts reach, a token at a later position is constant if enough texts
-share it there, else variable. A line of GENERAL tokens or more whose tokens are constant for the most part has the
-template of its constant tokens; any other line has its own tokens, digits generalised. A template that occurs in
-`min_texts` distinct texts recurs; it stays in the text of the smallest key and is dropped in all others.
+variable; this gives its leaf. In leaves that many texts reach, the support of a token at a later position is the number of
+texts that share it there. The support of a line is the greatest that a CONSTANT share of its tokens reaches, which bounds
+the texts of its template from above. A line of GENERAL tokens or more whose support is `min_texts` or more has the template
+of its constant tokens, those with SHARE of the line's support: so the values of a variable field stay variable however many
+texts each has, as long as none has nearly all. Any other line has its own tokens, digits generalised. A template that occurs
+in `min_texts` distinct texts recurs; it stays in the text of the smallest key and is dropped in all others.
 
 Exact copies of a text count once, so copies of a document do not make its lines recur. Blank lines stay. Null and empty
 texts stay as they are. Results don't depend on the order or partitioning of rows; equal texts get equal results. All
@@ -20,8 +22,11 @@ from pyspark.sql import functions as F
 
 from .common import cut, small
 
-#: Leading tokens on the tree's path; least tokens of a line for statistical templates and least share of constants.
-LEAD, GENERAL, CONSTANT = 3, 8, 0.75
+#: Leading tokens on the tree's path; least tokens of a line for statistical templates and least share of constants; share of
+#: a line's support that makes a token constant.
+LEAD, GENERAL, CONSTANT, SHARE = 3, 8, 0.75, 0.9
+#: Support of tokens on the path.
+PATH = 1 << 48
 #: Distinct texts from which a template recurs.
 MIN_TEXTS = 5
 
@@ -50,10 +55,12 @@ def recurring(docs: DataFrame, min_texts: int = MIN_TEXTS, key: str = "doc_id",
     counts = seen.select("leaf", "line", "k1", "k2").distinct().groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("texts"))
     long = lines(texts).filter(F.size("tokens") >= GENERAL).join(hot, "leaf", "left_semi").groupBy("leaf", "line").agg(F.first("tokens").alias("tokens"))
     tokens = cut(long.join(counts, ["leaf", "line"]).select("leaf", "line", "texts", F.posexplode("tokens").alias("pos", "token")), "tokens")
-    constant = tokens.filter(F.col("pos") >= LEAD).groupBy("leaf", "pos", "token").agg(F.sum("texts").alias("n")).filter(F.col("n") >= min_texts).select("leaf", "pos", "token", F.lit(True).alias("fixed"))
-    tokens = tokens.join(constant, ["leaf", "pos", "token"], "left").withColumn("fixed", (F.col("pos") < LEAD) | F.coalesce("fixed", F.lit(False)))
-    rows = tokens.groupBy("leaf", "line").agg(F.sort_array(F.collect_list(F.struct("pos", F.when(F.col("fixed"), F.col("token")).otherwise("<*>").alias("t")))).alias("ts"), F.avg(F.col("fixed").cast("int")).alias("share"))
-    template = rows.filter(F.col("share") >= CONSTANT).select("leaf", "line", F.xxhash64("ts.t").alias("template"))
+    support = tokens.filter(F.col("pos") >= LEAD).groupBy("leaf", "pos", "token").agg(F.sum("texts").alias("n")).filter(F.col("n") >= min_texts)
+    tokens = tokens.join(support, ["leaf", "pos", "token"], "left").withColumn("n", F.when(F.col("pos") < LEAD, PATH).otherwise(F.coalesce("n", F.lit(0))))
+    rows = tokens.groupBy("leaf", "line").agg(F.sort_array(F.collect_list(F.struct("pos", "n", "token"))).alias("ts"))
+    rows = rows.withColumn("support", F.get(F.sort_array("ts.n", False), (F.ceil(F.size("ts") * CONSTANT) - 1).cast("int")))
+    own = F.transform("ts", lambda t: F.when(t["n"] >= F.col("support") * SHARE, t["token"]).otherwise("<*>"))
+    template = rows.filter(F.col("support") >= min_texts).select("leaf", "line", F.xxhash64(own).alias("template"))
     seen = cut(seen.join(template, ["leaf", "line"], "left").withColumn("template", F.coalesce("template", "line")), "templates")
     per = seen.groupBy("leaf", "template", "k1", "k2").agg(F.min("id").alias("id"))
     order = F.struct(F.col("id").isNull().alias("none"), "id", "k1", "k2")
