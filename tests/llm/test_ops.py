@@ -120,9 +120,11 @@ def linededup_plain(rows, min_texts=5):
 
     groups, drop = {}, {}
     for t, l, w in seen:
-        groups.setdefault((leaf(w), template(w)), set()).add((owner[t], t, l))
-    for g in groups.values():
-        if len({t for _, t, _ in g}) >= min_texts:
+        groups.setdefault((min_texts, leaf(w), template(w)), set()).add((owner[t], t, l))
+        if sum(x != "<*>" for x in w) >= linededup.LONG:
+            groups.setdefault((linededup.LONG_TEXTS, w), set()).add((owner[t], t, l))
+    for (least, *_), g in groups.items():
+        if len({t for _, t, _ in g}) >= least:
             for _, t, l in g:
                 if t != min(g)[1]:
                     drop.setdefault(t, set()).add(l)
@@ -134,6 +136,8 @@ def test_line_dedup_against_plain_python(spark):
     fields = [["red", "blue"], WORDS[:4], WORDS[4:12], [f"x{k}" for k in range(9)]]
     forms = ["we saw the {} car of {} go by {} at gate {} on that same day", "we saw the {} cat of {} sit by {} near hut {} on some other day", "log of the {} call {} to {} came {}"]
     texts = [None, "", " \n "] + ["\n".join(rng.choice(forms).format(*map(rng.choice, fields)) for _ in range(rng.randrange(1, 4))) for _ in range(150)]
+    long = ["it was long " + " ".join(rng.choice(WORDS) for _ in range(n)) for n in (46, 47, 60, 60, 60)]
+    texts += [f"{rng.choice(WORDS)} {k} {k}\n" + "\n".join(rng.sample(long, 2)) for k in range(8)]
     rows = list(enumerate(texts + texts[10:20]))
     drop = linededup_plain(rows)
     assert len(drop) > 100
@@ -142,6 +146,15 @@ def test_line_dedup_against_plain_python(spark):
     assert {r.doc_id: (r.text, r.n_dropped) for r in linededup.dedup(d.repartition(3), 5).collect()} == want
 
 
+def test_long_lines_recur_from_two_texts(spark):
+    long, other, short = (" ".join(f"{c}{rng.choice(WORDS)}" for _ in range(n)) for rng in (random.Random(6),) for c, n in (("a", 60), ("b", 50), ("c", 49)))
+    numbers = " ".join(str(k) for k in range(60))
+    hot = [" ".join(long.split()[:3] + [f"{w}{chr(97 + k)}" for w in WORDS[:19] * 3]) for k in range(6)]  # fill the leaf of long
+    texts = ["one\n" + long, "two\n" + long + "\n" + short, "three\n" + short + "\n" + other, other, "four\n" + numbers, numbers.replace("7", "8"), *hot]
+    got = {r.doc_id: r.text for r in linededup.dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == dict(enumerate(texts)) | {1: "two\n" + short, 3: ""}
+
+
 def test_decontam(spark):
     item = "the quick brown fox jumps over the lazy dog near the old river bank at dawn"
     edited = item.replace("brown", "red").replace("old", "very old")

@@ -6,7 +6,9 @@ texts that share it there. The support of a line is the greatest that a CONSTANT
 the texts of its template from above. A line of GENERAL tokens or more whose support is `min_texts` or more has the template
 of its constant tokens, those with SHARE of the line's support: so the values of a variable field stay variable however many
 texts each has, as long as none has nearly all. Any other line has its own tokens, digits generalised. A template that occurs
-in `min_texts` distinct texts recurs; it stays in the text of the smallest key and is dropped in all others.
+in `min_texts` distinct texts recurs; it stays in the text of the smallest key and is dropped in all others. A line of LONG
+words without digits hardly stands in two texts by chance: whatever its leaf and template, it recurs from LONG_TEXTS distinct
+texts that have its own tokens, digits generalised.
 
 Exact copies of a text count once, so copies of a document do not make its lines recur. Blank lines stay. Null and empty
 texts stay as they are. Results don't depend on the order or partitioning of rows; equal texts get equal results. All
@@ -29,6 +31,8 @@ LEAD, GENERAL, CONSTANT, SHARE = 3, 8, 0.75, 0.9
 PATH = 1 << 48
 #: Distinct texts from which a template recurs.
 MIN_TEXTS = 5
+#: Words without digits that make a line long; distinct texts from which a long line recurs.
+LONG, LONG_TEXTS = 50, 2
 
 
 def _mask(token: Column) -> Column:
@@ -36,21 +40,21 @@ def _mask(token: Column) -> Column:
 
 
 def lines(texts: DataFrame) -> DataFrame:
-    """(k1, k2, id, raw, leaf, line, tokens) of each line that isn't blank; texts: (k1, k2, id, text)."""
+    """(k1, k2, id, raw, leaf, line, long, tokens) of each line that isn't blank; texts: (k1, k2, id, text)."""
     out = texts.select("k1", "k2", "id", F.explode(F.split("text", "\n")).alias("l")).filter(F.col("l").rlike("[^ \\t\\r\\f\\x0B]"))
     out = out.withColumn("tokens", F.transform(F.split(F.trim(F.regexp_replace("l", "[ \\t\\r\\f\\x0B]+", " ")), " "), _mask))
     leaf = F.xxhash64(F.size("tokens"), *[F.get("tokens", F.lit(i)) for i in range(LEAD)])
-    return out.select("k1", "k2", "id", F.xxhash64("l").alias("raw"), leaf.alias("leaf"), F.xxhash64("tokens").alias("line"), "tokens")
+    return out.select("k1", "k2", "id", F.xxhash64("l").alias("raw"), leaf.alias("leaf"), F.xxhash64("tokens").alias("line"), (F.size(F.filter("tokens", lambda t: t != "<*>")) >= LONG).alias("long"), "tokens")
 
 
 def recurring(docs: DataFrame, min_texts: int = MIN_TEXTS, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(k1, k2, raw): for each distinct text, by its hashes, the hashes of the lines to drop there."""
     body = F.col(text).cast("string")
     texts = docs.select(F.xxhash64(body).alias("k1"), F.xxhash64(F.lit("second"), body).alias("k2"), F.col(key).alias("id"), body.alias("text")).filter(F.length("text") > 0)
-    seen = cut(lines(texts).groupBy("leaf", "line", "raw", "k1", "k2").agg(F.min("id").alias("id")), "lines")
-    hot = cut(seen.select("leaf", "k1", "k2").distinct().groupBy("leaf").count().filter(F.col("count") >= min_texts).select("leaf"), "leaves")
+    every = cut(lines(texts).groupBy("leaf", "line", "long", "raw", "k1", "k2").agg(F.min("id").alias("id")), "lines")
+    hot = cut(every.select("leaf", "k1", "k2").distinct().groupBy("leaf").count().filter(F.col("count") >= min_texts).select("leaf"), "leaves")
     hot = small(hot)
-    seen = cut(seen.join(hot, "leaf", "left_semi"), "hot-lines")
+    seen = cut(every.join(hot, "leaf", "left_semi"), "hot-lines")
     # Constant tokens, only for lines long enough to be generalised.
     counts = seen.select("leaf", "line", "k1", "k2").distinct().groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("texts"))
     long = lines(texts).filter(F.size("tokens") >= GENERAL).join(hot, "leaf", "left_semi").groupBy("leaf", "line").agg(F.first("tokens").alias("tokens"))
@@ -62,11 +66,16 @@ def recurring(docs: DataFrame, min_texts: int = MIN_TEXTS, key: str = "doc_id",
     own = F.transform("ts", lambda t: F.when(t["n"] >= F.col("support") * SHARE, t["token"]).otherwise("<*>"))
     template = rows.filter(F.col("support") >= min_texts).select("leaf", "line", F.xxhash64(own).alias("template"))
     seen = cut(seen.join(template, ["leaf", "line"], "left").withColumn("template", F.coalesce("template", "line")), "templates")
-    per = seen.groupBy("leaf", "template", "k1", "k2").agg(F.min("id").alias("id"))
+    return _drops(seen, "template", min_texts, "recurring").union(_drops(every.filter("long"), "line", min(LONG_TEXTS, min_texts), "long-lines"))
+
+
+def _drops(seen: DataFrame, form: str, least: int, name: str) -> DataFrame:
+    """(k1, k2, raw) of the lines of seen whose form stands in `least` texts, except in the text of the smallest key."""
+    per = seen.groupBy("leaf", form, "k1", "k2").agg(F.min("id").alias("id"))
     order = F.struct(F.col("id").isNull().alias("none"), "id", "k1", "k2")
-    again = per.groupBy("leaf", "template").agg(F.count(F.lit(1)).alias("texts"), F.min(order).alias("o")).filter(F.col("texts") >= min_texts)
-    again = again.select("leaf", "template", F.col("o.k1").alias("o1"), F.col("o.k2").alias("o2"))
-    drop = seen.join(small(cut(again, "recurring")), ["leaf", "template"]).filter((F.col("k1") != F.col("o1")) | (F.col("k2") != F.col("o2")))
+    again = per.groupBy("leaf", form).agg(F.count(F.lit(1)).alias("texts"), F.min(order).alias("o")).filter(F.col("texts") >= least)
+    again = again.select("leaf", form, F.col("o.k1").alias("o1"), F.col("o.k2").alias("o2"))
+    drop = seen.join(small(cut(again, name)), ["leaf", form]).filter((F.col("k1") != F.col("o1")) | (F.col("k2") != F.col("o2")))
     return drop.select("k1", "k2", "raw")
 
 
