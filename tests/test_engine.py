@@ -7,6 +7,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from wirequery import verify
 from wirequery.aio import AsyncEngine
 from wirequery.engine import Engine
 from wirequery.errors import EngineError
@@ -181,3 +182,17 @@ def test_stream_matches_batch(spark, tmp_path):
     q = stream.writeStream.format("memory").queryName("tumbled").outputMode("complete").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert sorted(map(tuple, spark.table("tumbled").collect())) == sorted(map(tuple, tumbling(events).collect()))
+
+
+def test_literal_queries_take_all_rows(spark, tmp_path):
+    base = dt.datetime(2020, 1, 1)
+    events = [(k, base, k % 7, f"t{k % 3}", k / 4) for k in (*range(150), 10**6)] + [(None, base, None, "t", None)]
+    spark.createDataFrame(events, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double").write.parquet(str(tmp_path / "events.parquet"))
+    vectors = [(k, [k / 2, 1.0]) for k in (*range(20), 10**6)] + [(30, []), (31, None)]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = {n: [tuple(r) for r in verify.QUERIES[n](spark, str(tmp_path)).collect()] for n in ("map_literal", "tuple", "array_literal", "explode")}
+    by = lambda rows: sorted(rows, key=repr)
+    assert by(got["map_literal"]) == by((e, {"type": t, "user": None if u is None else str(u)}) for e, _, u, t, _ in events)
+    assert by((e, tuple(p)) for e, p in got["tuple"]) == by((e, (v, u)) for e, _, u, _, v in events)
+    assert by(got["array_literal"]) == by((e, [t, "it's", "a\\b"]) for e, _, _, t, _ in events)
+    assert by(got["explode"]) == by((v, k, round(x, 6)) for v, xs in vectors for k, x in enumerate(xs or ()))

@@ -37,9 +37,9 @@ PAIRS: dict[str, tuple[str, str | None]] = {
     "uniq_exact": ("select event_type, uniq(user_id) as uniq_users from events group by event_type", "select event_type, count(distinct user_id) as uniq_users from events group by 1"),
     "group_by_array": ("select array(o_orderstatus, o_orderpriority) as k, count(*) as n from orders group by array(o_orderstatus, o_orderpriority)", "select [o_orderstatus, o_orderpriority] as k, count(*) as n from orders group by 1"),
     "has_nested": ("select conv_id, size(t) as n from (select conv_id, collect_list(named_struct('turn',turn,'role',role)) as t from conversations group by conv_id) where has(t.turn, cast(3 as bigint))", "select conv_id, cast(count(*) as integer) as n from conversations group by 1 having bool_or(turn=3)"),
-    "map_literal": ("select event_id, map('type',event_type,'user',cast(user_id as string)) as m from events where event_id<100", "select event_id, map(['type','user'],[event_type,cast(user_id as varchar)]) as m from events where event_id<100"),
-    "tuple": ("select event_id, (value, user_id)::Tuple(x Float64, y Int64) as p from events where event_id<100", "select event_id, struct_pack(x:=value,y:=user_id) as p from events where event_id<100"),
-    "array_literal": ("select event_id, [event_type, 'it\\'s', 'a\\\\b'] as a from events where event_id<100", "select event_id, [event_type, 'it''s', 'a\\b'] as a from events where event_id<100"),
+    "map_literal": ("select event_id, map('type',event_type,'user',cast(user_id as string)) as m from events", "select event_id, map(['type','user'],[event_type,cast(user_id as varchar)]) as m from events where event_id<100"),
+    "tuple": ("select event_id, (value, user_id)::Tuple(x Float64, y Int64) as p from events", "select event_id, struct_pack(x:=value,y:=user_id) as p from events where event_id<100"),
+    "array_literal": ("select event_id, [event_type, 'it\\'s', 'a\\\\b'] as a from events", "select event_id, [event_type, 'it''s', 'a\\b'] as a from events where event_id<100"),
     "quoted_alias": ("select event_id as \"{not_a_param}\" from events", "select event_id as \"{not_a_param}\" from events"),
     "array": ("select label, sort_array(collect_list(vec_id)) as ids from embeddings group by label", "select label, list_sort(list(vec_id)) as ids from embeddings group by 1"),
     "nullable_decode": ("select event_id, nullif(case when event_type='error' then '\\\\N' else event_type end,'\\\\N') as v from events", "select event_id, case when event_type='error' then null else event_type end as v from events"),
@@ -64,7 +64,7 @@ PAIRS: dict[str, tuple[str, str | None]] = {
     "strings": ("select c_custkey, upper(c_name) as u, substring(c_name,1,8) as s, length(c_name) as l from customer", "select c_custkey, upper(c_name) as u, substring(c_name,1,8) as s, cast(length(c_name) as integer) as l from customer"),
     "dates": ("select o_orderkey, year(o_orderdate) as y, month(o_orderdate) as m, cast(date_trunc('month',o_orderdate) as timestamp_ntz) as t from orders", "select o_orderkey, cast(year(o_orderdate) as integer) as y, cast(month(o_orderdate) as integer) as m, date_trunc('month',o_orderdate) as t from orders"),
     "quantile": ("select event_type, percentile(value,0.5) as med from events group by event_type", "select event_type, quantile_cont(value,0.5) as med from events group by 1"),
-    "explode": ("select vec_id, pos, round(cast(x as double),6) as x from embeddings lateral view posexplode(embedding) e as pos,x where vec_id<10", "select vec_id, cast(generate_subscripts(embedding,1)-1 as integer) as pos, round(cast(unnest(embedding) as double),6) as x from embeddings where vec_id<10"),
+    "explode": ("select vec_id, pos, round(cast(x as double),6) as x from embeddings lateral view posexplode(embedding) e as pos,x", "select vec_id, cast(generate_subscripts(embedding,1)-1 as integer) as pos, round(cast(unnest(embedding) as double),6) as x from embeddings where vec_id<10"),
     "tpch_q1": ("select l_returnflag,l_linestatus,cast(sum(cast(l_quantity as decimal(18,2))) as double) as sum_qty,count(*) as n from lineitem where l_shipdate<=timestamp_ntz'1998-09-02' group by l_returnflag,l_linestatus", "select l_returnflag,l_linestatus,cast(sum(cast(l_quantity as decimal(18,2))) as double) as sum_qty,count(*) as n from lineitem where l_shipdate<=timestamp'1998-09-02' group by 1,2"),
 }
 
