@@ -14,6 +14,7 @@ from wirequery.errors import EngineError
 from wirequery.functions import codec
 from wirequery.plans import sqltext
 from wirequery.rows import Record
+from wirequery.sources import formats
 from wirequery.types import parse, spark_type
 
 
@@ -196,3 +197,16 @@ def test_literal_queries_take_all_rows(spark, tmp_path):
     assert by((e, tuple(p)) for e, p in got["tuple"]) == by((e, (v, u)) for e, _, u, _, v in events)
     assert by(got["array_literal"]) == by((e, [t, "it's", "a\\b"]) for e, _, _, t, _ in events)
     assert by(got["explode"]) == by((v, k, round(x, 6)) for v, xs in vectors for k, x in enumerate(xs or ()))
+
+
+def test_headers_go_by_position(spark, tmp_path):
+    schema = spark.createDataFrame([], "name string").schema
+    for kind, head in (("TSVWithNamesAndTypes", ["name", "String"]), ("TSVWithNames", ["name"])):
+        folder = tmp_path / kind
+        folder.mkdir()
+        for k in range(2):
+            (folder / f"{k}.tsv").write_text("\n".join([*head, "String", "name", f"v{k}", "", "name"]) + "\n")
+        one = [r.name for r in formats.read(spark, kind, str(folder / "0.tsv"), schema).collect()]
+        assert one == ["String", "name", "v0", "", "name"]
+        both = [r.name for r in formats.read(spark, kind, str(folder), schema).collect()]
+        assert sorted(both) == sorted(["String", "name", "v0", "", "name", "String", "name", "v1", "", "name"])

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as S
@@ -45,6 +47,25 @@ def _text(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("lineSep", "\n").text(path).select(F.regexp_replace("value", "\r$", "").alias("value"))
 
 
+def _below(spark: SparkSession, path: str, n: int) -> DataFrame:
+    """Lines of a path without the first n of each file, by position; a file's first lines are those of its block at 0."""
+
+    def run(batches):
+        left = {}
+        for batch in batches:
+            files, keep = batch.column(1).dictionary_encode(), np.ones(batch.num_rows, bool)
+            at, first = files.indices.to_numpy(zero_copy_only=False), batch.column(2).to_numpy(zero_copy_only=False) == 0
+            for i, file in enumerate(files.dictionary.to_pylist()):
+                if left.setdefault(file, n):
+                    mine = np.flatnonzero((at == i) & first)[: left[file]]
+                    keep[mine] = False
+                    left[file] -= len(mine)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep))], ["value"])
+
+    rows = spark.read.option("lineSep", "\n").text(path).select(F.regexp_replace("value", "\r$", "").alias("value"), "_metadata.file_path", "_metadata.file_block_start")
+    return rows.mapInArrow(run, "value string")
+
+
 def _headed(first: str | None, sep: str, schema: S.StructType) -> bool:
     """Whether a file's first line has the names of the columns."""
     return first is not None and [x.strip().strip('"') for x in first.rstrip("\r\n").split(sep)] == schema.names
@@ -62,15 +83,14 @@ def read(spark: SparkSession, name: str, path: str, schema: S.StructType) -> Dat
     if name in TYPED:
         names, types = (r.value.split("\t") for r in _text(spark, path).limit(2).collect())
         own = S.StructType([S.StructField(n, S.StringType(), True, {"ch_type": t}) for n, t in zip(names, types, strict=True)])
-        return _fields(_text(spark, path).filter((F.col("value") != "\t".join(names)) & (F.col("value") != "\t".join(types))), own)
+        return _fields(_below(spark, path, 2), own)
     if name not in (*CSV, *TSV):
         raise EngineError(f"Unknown format: {name}")
     first = _text(spark, path).limit(1).collect()
     sep = "," if name in CSV else "\t"
     headed = _headed(first[0].value if first else None, sep, schema)
     if name in TSV:
-        lines = _text(spark, path)
-        return _fields(lines.filter(F.col("value") != first[0].value) if headed else lines, schema)
+        return _fields(_below(spark, path, 1) if headed else _text(spark, path), schema)
     # A CSV row with too few or too many fields, or a field of a wrong type, fails.
     raw = S.StructType([S.StructField(f.name, f.dataType if not isinstance(f.dataType, (S.ArrayType, S.MapType, S.StructType)) else S.StringType()) for f in schema])
     found = spark.read.schema(raw).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").csv(path, header=headed, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True, mode="FAILFAST", enforceSchema=True)
