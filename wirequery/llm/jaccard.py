@@ -5,8 +5,8 @@ threshold t, two sets of sizes n and m that link share at least two shingles amo
 in any common order, and one among the first n - ceil(t n) + 1. Light sets (up to a boundary size) enumerate the
 two-element subsets of their prefix as keys; heavy sets, and light ones near enough in size to link with them, put their
 single prefix shingles into inverted lists. The boundary is the size that costs least, by the sizes found and the mean
-length of the lists. The order takes rarer shingles first, by counts in hashed buckets over all texts, then the hash:
-any order is exact, this one keeps widespread shingles out of the prefixes.
+length of the lists. The order takes rarer shingles first, by counts of all classes in 2^BITS hashed buckets, then the
+hash: any order is exact, this one keeps widespread shingles out of the prefixes.
 
 Lists are not turned into all pairs. In ROUNDS rounds each class is checked with up to three partners that its lists vote
 for, which joins groups of copies with a number of checks in proportion to their size. Only then are the
@@ -15,8 +15,14 @@ shingle flips one of 64 * PARITY bits of its class, so no more bits differ betwe
 pair with more differing bits than a link allows is no link. All candidates are
 checked exactly on their whole texts; no link between different components is lost, so the components are exact.
 
+Hot keys: a list of HOT classes or more, by the counts, is dealt over SALTS tasks when lists are told from single keys (it
+is a list for sure); votes are taken in random parts of PART classes of a list, other ones each round; the last join has
+written tables on both sides, which Spark's adaptive skew join splits. Texts are fetched only for classes of pairs that
+are to be checked. Tables written in between are removed when they are used up.
+
 Texts without words are linked with nothing. Null counts as empty. 64-bit hashes stand for shingles and classes (a false
-merger among 10^9 classes has odds below 10^-1). Rows that repeat a text, or a key, are members of their classes.
+merger among 10^9 classes has odds below 10^-1). Rows that repeat a text, or a key, are members of their classes. An empty
+table gives no rows. Only the key and the text are read, so other columns may have any names.
 """
 
 from __future__ import annotations
@@ -28,13 +34,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType
 
 from . import text as T
-from .common import cut, small
+from .common import Scope, small
 from .components import components
 
-SHINGLE, BITS, LIGHTEST, HEAVIEST, ROUNDS, PARITY = 5, 18, 4, 64, 2, 8
+SHINGLE, LIGHTEST, HEAVIEST, ROUNDS, PARITY = 5, 4, 64, 2, 8
+#: Buckets of shingle counts, and of them those in a chunk.
+BITS, CHUNK = 22, 1 << 14
+#: Counted length from which a list is dealt over SALTS tasks (64 times the mean of a bucket at least); classes of a list
+#: that vote together; share of a set's shingles in its prefix, about, for the mean length of a list.
+HOT, SALTS, PART, RAREST = 100_000, 256, 4096, 0.27
 
 
 def needed(n, percent: int):
@@ -54,23 +64,74 @@ def sets(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return value, owner, n, cls.view(np.int64)
 
 
+def parity(value: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """n rows of PARITY words: the parity bits of each set."""
+    out = np.zeros((n, PARITY), np.uint64)
+    bit = T.mix(value + np.uint64(0x2545F4914F6CDD1D)) % np.uint64(64 * PARITY)
+    np.bitwise_xor.at(out.reshape(-1), owner * PARITY + (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+    return out
+
+
+def _pack(count: np.ndarray) -> bytes:
+    """Counts in the least width that holds them; their number tells the width."""
+    return count.astype(next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if count.max(initial=0) <= np.iinfo(t).max)).tobytes()
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, {1: np.uint8, 2: np.uint16, 4: np.uint32, 8: np.uint64}[len(data) // CHUNK]).astype(np.int64)
+
+
 def _profile(batches):
-    """(id, hash, n, cls) of each row, and (bucket, count) of shingles, in one pass."""
-    count = np.zeros(1 << BITS, np.int64)
-    names = ["id", "th", "n", "cls", "bucket", "count"]
+    """(id, hash, n, cls, bits) of each row, and (chunk, counts) of the shingles of a partition's classes, in one pass."""
+    count, seen = np.zeros(1 << BITS, np.int64), set()
+    names, kinds = ["id", "th", "n", "cls", "bits", "chunk", "counts"], [pa.int64()] * 4 + [pa.list_(pa.int64()), pa.int32(), pa.binary()]
     for batch in batches:
         data, offs = T.raw(batch.column(0))
-        sizes, classes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        sizes, classes, bits = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros((0, PARITY), np.uint64)]
         for i, j in T.slices(offs):
-            value, _, n, cls = sets(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
-            count += np.bincount((value >> np.uint64(64 - BITS)).astype(np.int64), minlength=1 << BITS)
+            value, owner, n, cls = sets(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
+            new = np.array([not (c in seen or seen.add(c)) for c in cls.tolist()], bool)
+            np.add.at(count, (value[new[owner]] >> np.uint64(64 - BITS)).astype(np.int64), 1)
             sizes.append(n)
             classes.append(cls)
-        none = pa.nulls(len(batch), pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(np.concatenate(sizes).astype(np.int64)), pa.array(np.concatenate(classes)), none, none], names)
-    at = np.flatnonzero(count)
-    none = pa.nulls(len(at), pa.int64())
-    yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(at), pa.array(count[at])], names)
+            bits.append(parity(value, owner, len(n)))
+        m = len(batch)
+        ends = np.arange(0, m * PARITY + 1, PARITY, dtype=np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(bits).view(np.int64).ravel()))
+        columns = [batch.column(1), batch.column(2), pa.array(np.concatenate(sizes).astype(np.int64)), pa.array(np.concatenate(classes)), lists]
+        yield pa.RecordBatch.from_arrays([*columns, pa.nulls(m, kinds[5]), pa.nulls(m, kinds[6])], names)
+    for k in range(0, (1 << BITS) // CHUNK, 16):
+        chunks = [(c, count[c * CHUNK : (c + 1) * CHUNK]) for c in range(k, k + 16)]
+        chunks = [(c, x) for c, x in chunks if x.any()]
+        yield pa.RecordBatch.from_arrays([*[pa.nulls(len(chunks), t) for t in kinds[:5]], pa.array([c for c, _ in chunks], kinds[5]), pa.array([_pack(x) for _, x in chunks], kinds[6])], names)
+
+
+def _levels(batches):
+    """(chunk, level of each bucket, classes in all, sum of their squares) of chunks that are in one partition each."""
+    held: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for c, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            held[c] = held[c] + _unpack(x) if c in held else _unpack(x)
+    at = list(held)
+    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array([level(held[c]).tobytes() for c in at], pa.binary())], ["chunk", "levels"])
+
+
+def level(count: np.ndarray) -> np.ndarray:
+    """Counts on a scale of eight steps a doubling, one byte each."""
+    return np.minimum(np.rint(8 * np.log2(1 + count)), 255).astype(np.uint8)
+
+
+def list_length(rank: np.ndarray) -> tuple[float, float]:
+    """(mean length of the lists of prefix shingles, those of the rarest buckets; mean count of a bucket), from levels."""
+    count = np.bincount(rank, minlength=256)
+    size = np.exp2(np.arange(256) / 8) - 1
+    held = count * size  # occurrences by level
+    total = held.sum()
+    if not total:
+        return 1.0, 0.0
+    rarest = np.minimum(held, np.maximum(RAREST * total - (np.cumsum(held) - held), 0))
+    mean = total / len(rank)
+    return max(1.0, float((rarest * size).sum() / rarest.sum() - mean)), float(mean)
 
 
 def boundary(sizes: list[tuple[int, int]], length: float, percent: int) -> int:
@@ -93,8 +154,8 @@ def _two(p: int) -> tuple[np.ndarray, np.ndarray]:
     return np.triu_indices(p, 1)
 
 
-def _keys(held, light: int, percent: int):
-    """(key, cls, n, pos) of the prefixes; a class once a partition."""
+def _keys(held, light: int, percent: int, hot: int):
+    """(key, cls, n, pos, hot) of the prefixes; a class once a partition. hot: level of buckets from which lists are hot."""
 
     def run(batches):
         rank, seen = held.value, set()
@@ -105,37 +166,27 @@ def _keys(held, light: int, percent: int):
                 new = np.array([c != 0 and not (c in seen or seen.add(c)) for c in cls.tolist()], bool)
                 keep = new[owner]
                 value, owner = value[keep], owner[keep]
-                order = np.lexsort((value, rank[(value >> np.uint64(64 - BITS)).astype(np.int64)], owner))
-                value, owner = value[order], owner[order]
+                rare = rank[(value >> np.uint64(64 - BITS)).astype(np.int64)]
+                order = np.lexsort((value, rare, owner))
+                value, owner, rare = value[order], owner[order], rare[order]
                 first = np.searchsorted(owner, np.arange(len(n)))
                 pos = np.arange(len(value)) - first[owner]
                 size = n[owner]
                 single = ((size > light) | (100 * size >= percent * (light + 1))) & (pos < size - needed(size, percent) + 1)
-                parts = [(value[single], cls[owner[single]], size[single], pos[single])]
+                parts = [(value[single], cls[owner[single]], size[single], pos[single], rare[single] >= hot)]
                 for d in np.flatnonzero(new & (n <= light) & (n > 1)).tolist():
                     a, b = _two(int(min(n[d], n[d] - needed(n[d], percent) + 2)))
-                    v = value[first[d] : first[d] + n[d]]
+                    v, r = value[first[d] : first[d] + n[d]], rare[first[d] : first[d] + n[d]]
                     x, y = v[a], v[b]
-                    parts.append((T.mix(np.minimum(x, y) * np.uint64(0x9E3779B97F4A7C15) + np.maximum(x, y)), np.full(len(a), cls[d]), np.full(len(a), n[d]), b - 1))
-                key, c, s, p = (np.concatenate(x) for x in zip(*parts, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(c), pa.array(s.astype(np.int32)), pa.array(p.astype(np.int32))], ["key", "cls", "n", "pos"])
+                    pair = T.mix(np.minimum(x, y) * np.uint64(0x9E3779B97F4A7C15) + np.maximum(x, y))
+                    parts.append((pair, np.full(len(a), cls[d]), np.full(len(a), n[d]), b - 1, np.minimum(r[a], r[b]) >= hot))
+                key, c, s, p, h = (np.concatenate(x) for x in zip(*parts, strict=True))
+                columns = [pa.array(key.view(np.int64)), pa.array(c), pa.array(s.astype(np.int32)), pa.array(p.astype(np.int32)), pa.array(h)]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "cls", "n", "pos", "hot"])
 
     return run
 
 
-@F.arrow_udf(ArrayType(LongType()))
-def parity(texts: pa.Array) -> pa.Array:
-    """The parity bits of each text's set."""
-    data, offs = T.raw(texts)
-    out = np.zeros((len(offs) - 1, PARITY), np.uint64)
-    for i, j in T.slices(offs):
-        value, owner, _, _ = sets(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
-        bit = T.mix(value + np.uint64(0x2545F4914F6CDD1D)) % np.uint64(64 * PARITY)
-        np.bitwise_xor.at(out, (i + owner, (bit >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (bit & np.uint64(63)))
-    ends = np.arange(0, out.size + 1, PARITY, dtype=np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(out.view(np.int64).ravel()))
-
-
 def overlaps(percent: int):
     """A column function: whether two texts link."""
 
@@ -158,97 +209,165 @@ def overlaps(percent: int):
     return link
 
 
-def groups(docs: DataFrame, percent: int = 75, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id) for each row of docs: the least key that is reachable by links, itself included."""
-    spark = docs.sparkSession
-    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    rows = docs.select(body.alias("text"), F.col(key).cast("long").alias("id"), F.xxhash64(body).alias("th"))
-    found = cut(rows.mapInArrow(_profile, "id bigint, th bigint, n bigint, cls bigint, bucket bigint, count bigint"), "sets")
-    count = found.filter("bucket is not null").groupBy("bucket").agg(F.sum("count").alias("c")).toPandas()
-    rank = np.zeros(1 << BITS, np.int64)
-    rank[count["bucket"].to_numpy(int)] = count["c"].to_numpy(np.int64)
-    members = found.filter("bucket is null").select("id", "th", "n", "cls")
-    lowest = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th"))
-    classes = cut(members.filter("n > 0").groupBy("cls").agg(F.first("n").alias("n"), lowest.alias("o")).select("cls", "n", F.col("o.id").alias("id"), F.col("o.th").alias("th")), "classes")
-    sizes = classes.groupBy(F.when(F.col("n") <= 200, F.col("n")).otherwise(F.pow(2.0, F.ceil(F.log2("n"))).cast("long")).alias("n")).count().collect()
-    total = max(float(rank.sum()), 1.0)
-    length = max(1.0, float((rank.astype(float) ** 2).sum() / total - total / (1 << BITS)))
-    light = boundary([(x["n"], x["count"]) for x in sizes], length, percent)
-    keys = rows.select("text").mapInArrow(_keys(spark.sparkContext.broadcast(rank), light, percent), "key bigint, cls bigint, n int, pos int")
-    by = Window.partitionBy("key")
-    lists = cut(keys.withColumn("lo", F.min("cls").over(by)).withColumn("hi", F.max("cls").over(by)).filter("lo <> hi").select("key", "cls", "n", "pos").distinct(), "lists")
-    near = lambda a, b: (100 * F.least(a, b) >= percent * F.greatest(a, b))
-    wanted = lists.select("cls").distinct().join(classes, "cls").select("cls", F.col("id").alias("wid"), F.col("th").alias("wth"))
-    texts = rows.join(small(cut(wanted, "wanted")), F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth"))).groupBy("cls").agg(F.first("text").alias("text"))
-    texts = cut(texts, "texts")
-    bits = cut(texts.select("cls", parity("text").alias("bits")), "parity")
-    link = overlaps(percent)
-
-    def alike(n1: Column, bits1: Column, n2: Column, bits2: Column) -> Column:
-        differ = reduce(add, [F.bit_count(bits1[i].bitwiseXOR(bits2[i])) for i in range(PARITY)])
-        return (100 + percent) * differ <= (100 - percent) * (n1 + n2)
-
-    def check(pairs: DataFrame) -> DataFrame:
+def _near(a: Column, b: Column, percent: int) -> Column:
+    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+
+
+def _alike(n: Column, bits1: Column, bits2: Column, percent: int) -> Column:
+    """Whether parity lets two sets of n shingles in all link."""
+    differ = reduce(add, [F.bit_count(bits1[i].bitwiseXOR(bits2[i])) for i in range(PARITY)])
+    return (100 + percent) * differ <= (100 - percent) * n
+
+
+class _Join:
+    """The tables of one join: rows (text, id, th) and classes (cls, n, id, th, bits)."""
+
+    def __init__(self, rows: DataFrame, percent: int, scope: Scope):
+        self.rows, self.percent, self.scope, self.link = rows, percent, scope, overlaps(percent)
+
+    def lists(self) -> DataFrame:
+        """(key, cls, n, pos, parts) of the keys that several classes have, near enough in size to link; parts: how many parts of a list vote apart."""
+        spark, by = self.rows.sparkSession, Window.partitionBy("key", "salt")
+        found = self.found.filter("chunk is not null").select("chunk", "counts").repartition("chunk").mapInArrow(_levels, "chunk int, levels binary").collect()
+        rank = np.zeros(1 << BITS, np.uint8)
+        for r in found:
+            rank[r.chunk * CHUNK : (r.chunk + 1) * CHUNK] = np.frombuffer(r.levels, np.uint8)
+        sizes = self.classes.groupBy(F.when(F.col("n") <= 200, F.col("n")).otherwise(F.pow(2.0, F.ceil(F.log2("n"))).cast("long")).alias("n")).count().collect()
+        length, mean = list_length(rank)
+        light = boundary([(x["n"], x["count"]) for x in sizes], length, self.percent)
+        hot = int(level(np.array([max(HOT, 64 * mean)]))[0])
+        keys = self.rows.select("text").mapInArrow(_keys(spark.sparkContext.broadcast(rank), light, self.percent, hot), "key bigint, cls bigint, n int, pos int, hot boolean")
+        keys = keys.withColumn("salt", F.when(F.col("hot"), F.pmod("cls", F.lit(SALTS))).otherwise(F.lit(0)).cast("int"))
+        size = by.orderBy("n", "cls")
+        keys = keys.withColumns({"before": F.lag("n").over(size), "after": F.lead("n").over(size), "lo": F.min("cls").over(by), "hi": F.max("cls").over(by), "c": F.count(F.lit(1)).over(by)})
+        keys = keys.filter("hot or lo <> hi and (" + " or ".join(f"{m} is not null and {self.percent} * greatest(n, {m}) <= 100 * least(n, {m})" for m in ("before", "after")) + ")")
+        parts = F.ceil(F.col("c") * F.when(F.col("hot"), SALTS).otherwise(1) / PART).cast("int")
+        return self.scope.cut(keys.select("key", "cls", "n", "pos", parts.alias("parts")).distinct(), "lists")
+
+    def check(self, pairs: DataFrame) -> DataFrame | None:
+        """The pairs (a, b) that link, None if none does; texts are fetched for their classes only."""
+        if not pairs.limit(1).count():
+            return None
+        both = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+        wanted = self.scope.cut(both.join(self.classes, "cls").select("cls", F.col("id").alias("wid"), F.col("th").alias("wth")), "wanted")
+        texts = self.rows.join(small(wanted), F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth")))
+        texts = self.scope.cut(texts.groupBy("cls").agg(F.first("text").alias("text")), "texts")
         a, b = (texts.select(F.col("cls").alias(k), F.col("text").alias(f"t{k}")) for k in ("a", "b"))
-        return cut(pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", link.asNondeterministic()("ta", "tb").alias("ok")), "checked")
+        out = self.scope.cut(pairs.select("a", "b").join(a, "a").join(b.hint("merge"), "b").select("a", "b", self.link.asNondeterministic()("ta", "tb").alias("ok")).filter("ok").select("a", "b"), "linked")
+        self.scope.free(wanted, texts)
+        return out if out.limit(1).count() else None
 
-    def apart(roots: DataFrame | None) -> DataFrame:
-        """The lists whose classes are of several components, with the component of each class."""
+    def apart(self, lists: DataFrame, roots: DataFrame | None) -> DataFrame:
+        """The rows of lists whose key has classes of several components, with each class's component."""
         if roots is None:
             return lists.withColumn("root", F.col("cls"))
-        placed = lists.join(small(roots), F.col("cls") == F.col("node"), "left").select("key", "cls", "n", "pos", F.coalesce("root", "cls").alias("root"))
-        return placed.withColumn("lo", F.min("root").over(by)).withColumn("hi", F.max("root").over(by)).filter("lo <> hi").drop("lo", "hi")
-
-    def vote(placed: DataFrame, tried: DataFrame | None, round_: int) -> DataFrame:
-        """For each class up to three partners of another component: by shared keys, among the smallest sets of its lists,
-        the next smaller ones, and the next ones in a random order. With the sizes of both, and whether parity lets them link."""
+        placed = self.scope.cut(lists.join(small(roots), F.col("cls") == F.col("node"), "left").select(*lists.columns, F.coalesce("root", "cls").alias("root")), "placed")
+        keys = self.scope.cut(placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key"), "open")
+        return placed.join(keys.hint("merge"), "key", "left_semi")
+
+    def vote(self, placed: DataFrame, tried: DataFrame | None, round_: int) -> DataFrame:
+        """For each class up to three partners of another component: by shared keys, among the smallest sets of its part of
+        the lists, the next smaller ones, and the next ones in a random order; and whether parity lets them link."""
+        by = Window.partitionBy("key", "part")
         me, size, chance = F.struct("cls", "n", "root"), by.orderBy("n", "cls"), by.orderBy(F.xxhash64("cls", F.lit(round_)), "cls")
         ways = F.array(F.first(me).over(size), F.lag(me).over(size), F.lag(me).over(chance))
+        placed = placed.withColumn("part", F.pmod(F.xxhash64("cls", F.lit(round_ + 100)), F.col("parts")))
         voted = placed.select("cls", "n", "root", ways.alias("ways")).select("cls", "n", "root", F.posexplode("ways").alias("way", "o"))
-        voted = voted.filter((F.col("root") != F.col("o.root")) & near(F.col("n"), F.col("o.n"))).select("cls", "n", "way", F.col("o.cls").alias("other"), F.col("o.n").alias("m"))
+        voted = voted.filter((F.col("root") != F.col("o.root")) & _near(F.col("n"), F.col("o.n"), self.percent))
+        voted = voted.select("cls", "n", "way", F.col("o.cls").alias("other"), F.col("o.n").alias("m"))
         voted = voted.groupBy("cls", "other", "way").agg(F.count(F.lit(1)).alias("count"), F.first("n").alias("n"), F.first("m").alias("m"))
         voted = voted.withColumn("a", F.least("cls", "other")).withColumn("b", F.greatest("cls", "other"))
         voted = voted.join(tried.select("a", "b"), ["a", "b"], "left_anti") if tried is not None else voted
         voted = voted.groupBy("cls", "way").agg(F.max_by(F.struct("a", "b", (F.col("n") + F.col("m")).alias("both")), F.struct("count", "other")).alias("o"))
-        pairs = voted.select("o.*").distinct()
+        pairs = self.scope.cut(voted.select("o.*").distinct(), "pairs")
+        with_bits = pairs
         for k in ("a", "b"):
-            pairs = pairs.join(bits.select(F.col("cls").alias(k), F.col("bits").alias(f"bits{k}")), k)
-        return cut(pairs.select("a", "b", alike(F.col("both"), F.col("bitsa"), F.lit(0), F.col("bitsb")).alias("alike")), "voted")
-
-    # Rounds of votes, which join most of what belongs together.
-    tried, roots = None, None
-    for round_ in range(ROUNDS):
-        new = vote(apart(roots), tried, round_)
-        tried = new if tried is None else tried.unionByName(new)
-        ok = check(new.filter("alike")).filter("ok").select("a", "b")
-        roots = components(ok if roots is None else ok.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
-    # Then all pairs of a list that fit, are not yet together and not yet checked.
-    placed = cut(apart(roots).join(bits, "cls"), "apart")
-    x, y = (placed.select("key", *[F.col(c).alias(f"{c}{k}") for c in ("cls", "n", "pos", "root", "bits")]) for k in (1, 2))
-    most = 1 + F.least(F.col("n1") - F.col("pos1") - 1, F.col("n2") - F.col("pos2") - 1)  # if this is the first shared shingle
-    fits = (100 + percent) * most >= percent * (F.col("n1") + F.col("n2"))
-    may = near(F.col("n1"), F.col("n2")) & fits & alike(F.col("n1"), F.col("bits1"), F.col("n2"), F.col("bits2"))
-    rest = x.join(y, "key").filter((F.col("cls1") < F.col("cls2")) & (F.col("root1") != F.col("root2")) & may)
-    rest = rest.select(F.col("cls1").alias("a"), F.col("cls2").alias("b")).distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti")
-    more = check(rest)
-    roots = components(more.filter("ok").select("a", "b").unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
-    least = classes.join(roots, F.col("cls") == F.col("node"), "left").withColumn("root", F.coalesce("root", "cls"))
-    joined = roots.select(F.col("root").alias("r")).distinct().join(least, F.col("r") == F.col("root")).groupBy("root").agg(F.min("id").alias("low"))
-    # The least key of each class that isn't alone or has several members; all other rows are their own component.
-    of = least.join(joined, "root", "left").select("cls", F.coalesce("low", "id").alias("component"))
-    out = members.select("id", "n", "cls").join(of, "cls", "left")
-    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component")).alias("component_id"))
+            with_bits = with_bits.join(self.classes.select(F.col("cls").alias(k), F.col("bits").alias(f"bits{k}")), k)
+        out = self.scope.cut(with_bits.select("a", "b", _alike(F.col("both"), F.col("bitsa"), F.col("bitsb"), self.percent).alias("alike")), "voted")
+        self.scope.free(pairs)
+        return out
+
+    def rest(self, placed: DataFrame, tried: DataFrame) -> DataFrame:
+        """All pairs of a list that fit, are not together and not tried."""
+        placed = self.scope.cut(placed.join(self.classes.select("cls", "bits"), "cls").select("key", "cls", "n", "pos", "root", "bits"), "apart")
+        x, y = (placed.select("key", *[F.col(c).alias(f"{c}{k}") for c in ("cls", "n", "pos", "root", "bits")]) for k in (1, 2))
+        both = F.col("n1") + F.col("n2")
+        most = 1 + F.least(F.col("n1") - F.col("pos1") - 1, F.col("n2") - F.col("pos2") - 1)  # if this is the first shared shingle
+        fits = (100 + self.percent) * most >= self.percent * both
+        may = _near(F.col("n1"), F.col("n2"), self.percent) & fits & _alike(both, F.col("bits1"), F.col("bits2"), self.percent)
+        pairs = x.join(y.hint("merge"), "key").filter((F.col("cls1") < F.col("cls2")) & (F.col("root1") != F.col("root2")) & may)
+        pairs = pairs.select(F.col("cls1").alias("a"), F.col("cls2").alias("b")).distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti")
+        return self.scope.cut(pairs, "rest")
+
+    def roots(self) -> DataFrame | None:
+        """(node, root): the component of each class that isn't its component's least class; None if nothing links."""
+        lists, tried, roots = self.lists(), None, None
+        for round_ in range(ROUNDS + 1):
+            placed = self.apart(lists, roots)
+            if round_ < ROUNDS:  # votes, which join most of what belongs together
+                new = self.vote(placed, tried, round_)
+                ok, tried = self.check(new.filter("alike")), new if tried is None else tried.unionByName(new)
+            else:
+                ok = self.check(self.rest(placed, tried))
+            if ok is not None:
+                ties = ok if roots is None else ok.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+                roots = components(ties, self.scope)
+        return roots
+
+    def members(self) -> DataFrame:
+        """(id, th, n, cls, low_id, low_th) of each row, from tables of its own: low_*: id and text hash of the component's
+        least row, by id (null last), then hash."""
+        scope = self.scope
+        self.found = scope.cut(self.rows.mapInArrow(_profile, "id bigint, th bigint, n bigint, cls bigint, bits array<bigint>, chunk int, counts binary"), "sets")
+        members = self.found.filter("chunk is null").select("id", "th", "n", "cls")
+        lowest = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th"))
+        least = members.filter("n > 0").groupBy("cls").agg(F.first("n").alias("n"), lowest.alias("o")).select("cls", "n", F.col("o.id").alias("id"), F.col("o.th").alias("th"))
+        bits = self.found.filter("n > 0").groupBy("cls").agg(F.first("bits").alias("bits"))
+        self.classes = scope.cut(least.join(bits, "cls"), "classes")
+        roots = self.roots()
+        if roots is None:
+            roots = self.classes.select(F.col("cls").alias("node"), F.col("cls").alias("root")).limit(0)
+        placed = self.classes.select("cls", "id", "th").join(roots, F.col("cls") == F.col("node"), "left").withColumn("root", F.coalesce("root", "cls"))
+        joined = roots.select(F.col("root").alias("r")).distinct().join(placed, F.col("r") == F.col("root")).groupBy("root").agg(lowest.alias("low"))
+        # The least row of each class that isn't alone or has several members; all other rows are their own component.
+        of = placed.join(joined, "root", "left").select("cls", F.coalesce("low.id", F.when(F.col("low").isNull(), F.col("id"))).alias("low_id"), F.coalesce("low.th", "th").alias("low_th"))
+        out = scope.cut(members.join(of.hint("merge"), "cls", "left").select("id", "th", "n", "cls", "low_id", "low_th"), "members")
+        scope.close(out)
+        return out
+
+
+def _members(docs: DataFrame, percent: int, key: str, text: str) -> DataFrame:
+    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    rows = docs.select(body.alias("text"), F.col(key).cast("long").alias("id"), F.xxhash64(body).alias("th"))
+    return _Join(rows, percent, Scope(docs.sparkSession)).members()
+
+
+def groups(docs: DataFrame, percent: int = 75, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id) for each row of docs: the least key that is reachable by links, itself included.
+
+    A null key is no least key where another is reachable. A text without words is a component of its own.
+    """
+    out = _members(docs, percent, key, text)
+    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("low_id")).alias("component_id"))
 
 
 def one_each(docs: DataFrame, percent: int = 75, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with one row of each component: that of the least key. Rows without words all stay, as do rows with null keys.
+    """docs with one row of each component: that of the least key (null last), then text hash. Rows without words all stay.
 
-    Of several rows with the same key one stays.
+    Rows are told apart by key and text, so of unrelated texts with the same key none goes; of several rows with the same
+    key and text the one with the least hash of all its columns stays. The columns are those of docs.
     """
-    group = cut(groups(docs, percent, key, text), "groups")
-    first = group.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__wq_id"))
-    repeated = first.groupBy("__wq_id").count().filter("count > 1").limit(1).count() > 0
-    kept = docs.join(first, F.col(key).cast("long") == F.col("__wq_id"), "left_semi")
-    if repeated:  # else the rows need not be shuffled for it
-        kept = kept.dropDuplicates([key])
-    return kept.unionByName(docs.filter(F.col(key).isNull()))
+    out = _members(docs, percent, key, text)
+    same = F.col("id").eqNullSafe(F.col("low_id")) & (F.col("th") == F.col("low_th"))
+    gone = Scope(docs.sparkSession)
+    drop = gone.cut(out.filter((F.col("n") > 0) & ~same).select(F.col("id").alias("__wq_id"), F.col("th").alias("__wq_th")).distinct(), "dropped")
+    twice = gone.cut(out.filter((F.col("n") > 0) & same).groupBy("id", "th").count().filter("count > 1").select(F.col("id").alias("__wq_id"), F.col("th").alias("__wq_th")), "repeated")
+    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    rows = docs.withColumns({"__wq_i": F.col(key).cast("long"), "__wq_t": F.xxhash64(body)})
+    on = F.col("__wq_i").eqNullSafe(F.col("__wq_id")) & (F.col("__wq_t") == F.col("__wq_th"))
+    kept = rows.join(small(drop), on, "left_anti")
+    if twice.limit(1).count():  # else no row need be looked for among others
+        order = Window.partitionBy("__wq_i", "__wq_t").orderBy(F.xxhash64(*[F.to_json(F.struct(F.col(f"`{c}`"))) for c in docs.columns]))
+        again = kept.join(small(twice), on, "left_semi").withColumn("__wq_n", F.row_number().over(order)).filter("__wq_n = 1").drop("__wq_n")
+        kept = kept.join(small(twice), on, "left_anti").unionByName(again)
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

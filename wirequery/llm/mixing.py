@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, cut
+from .common import cut
 
 #: The largest Poisson mean that is inverted at once; exp(-PIECE) and the tail beyond TERMS are safe in doubles.
 PIECE, TERMS = 16.0, 96
@@ -72,7 +72,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, alpha: float =
     ).select(F.col("source").alias("__wq_source"), F.col("rate").alias("mix_rate"), F.col("pieces").alias("__wq_pieces"), F.col("cdf").alias("__wq_cdf"))
     rows = docs.select(*kept, F.coalesce(F.col(key).cast("string"), F.lit("")).alias("__wq_key"))
     same = F.col(source).cast("string").eqNullSafe(F.col("__wq_source"))
-    if table.limit(SOURCES + 1).count() <= min(SOURCES, BROADCAST_ROWS):
+    if table.limit(SOURCES + 1).count() <= SOURCES:
         rows = rows.join(F.broadcast(table), same)
     else:
         rows = rows.withColumn("__wq_salt", F.pmod(F.xxhash64("__wq_key"), F.lit(SALTS)).cast("int"))
