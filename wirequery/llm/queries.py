@@ -67,6 +67,7 @@ def op6_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_dropped")
 
 
+#: Templates as in linededup: support of tokens and lines in leaves of 5 texts, long lines from 2 texts.
 OP6_SQL = r"""
 with lines as (select text as body, doc_id, l, list_transform(string_split_regex(trim(regexp_replace(l, '[ \t\r\f\v]+', ' ', 'g')), ' '), lambda x: case when regexp_matches(x, '[0-9]') then '<*>' else x end) as tokens
  from (select doc_id, text, unnest(string_split(text, chr(10))) as l from documents where length(text) > 0) where regexp_matches(l, '[^ \t\r\f\v]')),
@@ -75,12 +76,16 @@ hot as (select n, a, b, c from seen group by all having count(distinct body) >=
 s as (select seen.* from seen join hot on seen.n = hot.n and seen.a = hot.a and seen.b is not distinct from hot.b and seen.c is not distinct from hot.c),
 counts as (select n, a, b, c, tokens, count(distinct body) as texts from s where n >= 8 group by all),
 toks as (select *, unnest(tokens) as token, unnest(range(0, n)) as pos from counts),
-const as (select n, a, b, c, pos, token, sum(texts) as t from toks where pos >= 3 group by all having sum(texts) >= 5),
-flags as (select toks.*, toks.pos < 3 or const.t is not null as fixed from toks left join const on toks.n = const.n and toks.a = const.a and toks.b = const.b and toks.c = const.c and toks.pos = const.pos and toks.token = const.token),
-templ as (select tokens, list(case when fixed then token else '<*>' end order by pos) as template from flags group by tokens having avg(cast(fixed as integer)) >= 0.75),
+sup as (select n, a, b, c, pos, token, sum(texts) as t from toks where pos >= 3 group by all having sum(texts) >= 5),
+flags as (select toks.*, case when toks.pos < 3 then 1::bigint << 48 else coalesce(sup.t, 0) end as w from toks left join sup on toks.n = sup.n and toks.a = sup.a and toks.b = sup.b and toks.c = sup.c and toks.pos = sup.pos and toks.token = sup.token),
+supports as (select tokens, list(w order by w desc)[cast(ceil(any_value(n) * 0.75) as bigint)] as support, list(w order by pos) as ws from flags group by tokens),
+templ as (select tokens, list_transform(range(1, len(tokens) + 1), lambda i: case when ws[i] >= support * 0.9 then tokens[i] else '<*>' end) as template from supports where support >= 5),
 st as (select s.*, coalesce(templ.template, s.tokens) as template from s left join templ on s.tokens = templ.tokens),
 rec as (select n, a, b, c, template, arg_min(body, id) as owner from st group by all having count(distinct body) >= 5),
-drops as (select distinct st.body, st.l from st join rec on st.template = rec.template and st.n = rec.n and st.a = rec.a and st.b is not distinct from rec.b and st.c is not distinct from rec.c where st.body <> rec.owner),
+long as (select * from seen where len(list_filter(tokens, lambda x: x <> '<*>')) >= 50),
+again as (select tokens, arg_min(body, id) as owner from long group by all having count(distinct body) >= 2),
+drops as (select st.body, st.l from st join rec on st.template = rec.template and st.n = rec.n and st.a = rec.a and st.b is not distinct from rec.b and st.c is not distinct from rec.c where st.body <> rec.owner
+ union select long.body, long.l from long join again on long.tokens = again.tokens where long.body <> again.owner),
 gone as (select body, list(l) as ls from drops group by body)
 select doc_id, case when ls is null then text else array_to_string(list_filter(string_split(text, chr(10)), lambda x: not list_contains(ls, x)), chr(10)) end as text, coalesce(cast(len(ls) as integer), 0) as n_dropped from documents left join gone on text = body
 """

@@ -21,11 +21,12 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
-@lru_cache(1)
-def _values() -> np.ndarray:
-    """A random 64-bit value for each byte, A-Z folded to a-z."""
+@lru_cache(2)
+def _values(fold: bool = True) -> np.ndarray:
+    """A random 64-bit value for each byte, if fold A-Z as a-z."""
     out = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-    out[65:91] = out[97:123]
+    if fold:
+        out[65:91] = out[97:123]
     return out
 
 
@@ -86,11 +87,11 @@ def spans(word: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return starts, ends, np.searchsorted(starts, offs)
 
 
-def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte range, A-Z as a-z."""
+def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True) -> np.ndarray:
+    """64-bit hash of each byte range, if fold A-Z as a-z."""
     pw, inv = _powers(len(data))
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_values()[data] * pw[: len(data)], out=total[1:])
+    np.cumsum(_values(fold)[data] * pw[: len(data)], out=total[1:])
     return mix((total[ends] - total[starts]) * inv[starts] + (ends - starts).astype(np.uint64))
 
 
