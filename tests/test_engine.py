@@ -1,5 +1,8 @@
 import asyncio
 import datetime as dt
+import io
+import ipaddress
+import uuid
 from decimal import Decimal
 
 import pytest
@@ -12,9 +15,11 @@ from wirequery.aio import AsyncEngine
 from wirequery.engine import Engine
 from wirequery.errors import EngineError
 from wirequery.functions import codec
+from wirequery.operators import joins
 from wirequery.plans import sqltext
 from wirequery.rows import Record
 from wirequery.sources import formats
+from wirequery.streaming import windows
 from wirequery.types import parse, spark_type
 
 
@@ -210,3 +215,122 @@ def test_headers_go_by_position(spark, tmp_path):
         assert one == ["String", "name", "v0", "", "name"]
         both = [r.name for r in formats.read(spark, kind, str(folder), schema).collect()]
         assert sorted(both) == sorted(["String", "name", "v0", "", "name", "String", "name", "v1", "", "name"])
+
+
+COLUMNS = """uint8 UInt8, uint16 UInt16, uint32 UInt32, uint64 UInt64, uint128 UInt128, uint256 UInt256, int8 Int8, int16 Int16, int32 Int32, int64 Int64, int128 Int128,
+int256 Int256, float32 Float32, float64 Float64, string String, fixed_string FixedString(32), date Nullable(Date), datetime Nullable(DateTime),
+enum8 Enum8('hello' = 1, 'world' = 2), enum16 Enum16('hello' = 1000, 'world' = 2000), array_uint8 Array(UInt8), tuple Tuple(UInt8, String), nullable Nullable(Int8),
+array_nullable_string Array(Nullable(String)), array_tuple Array(Tuple(String, UInt8, String)), uuid Nullable(UUID), array_uuid Array(UUID), array_date Array(Date),
+low_cardinality_str LowCardinality(String), decimal32 Decimal32(4), decimal128 Decimal128(6), decimal Decimal(6, 3), array_array_int Array(Array(Int32)),
+ipv4 Nullable(IPv4), ipv6 Nullable(IPv6), datetime64 DateTime64(3, 'Europe/Moscow'), bool Bool, map_map_array_uuid Map(String, Map(String, Array(UUID))),
+nested_int Nested(value1 Integer, value2 Integer), nested_str_date Nested(value1 String, value2 Date)"""
+ID = uuid.UUID("123e4567-e89b-12d3-a456-426655440000")
+VALUES = (
+    1, 65535, 2**32 - 1, 2**64 - 1, 2**128 - 1, 2**256 - 1, -128, -5, -6, -(2**63), -(2**127), 2**255 - 1, 23.432, -1e20, "it's\t\\", "fixed", dt.date(2018, 9, 21), None,
+    "hello", "world", [1, 2], (4, "x"), None, ["a", None], [("a", 1, "b")], ID, [ID, ID], [dt.date(2018, 9, 21)], "low", Decimal("1.5"), Decimal("1234.56"), Decimal("12.345"), [[1], []],
+    ipaddress.IPv4Address("10.0.0.1"), ipaddress.IPv6Address("2001:db8::1"), dt.datetime(2018, 9, 21, 10, 32, 23, 999000), True, {"k": {"q": [ID]}}, [(0, 1)], [("hello", dt.date(2018, 9, 21))],
+)
+
+
+@pytest.fixture
+def everything(engine):
+    for t in ("all_types", "test_cache", "test_insert_file"):
+        engine.execute(f"DROP TABLE IF EXISTS {t}")
+    engine.execute(f"CREATE TABLE all_types ({COLUMNS}) ENGINE = Memory")
+    engine.execute("CREATE TABLE test_cache (key String, int32Cache AggregateFunction(avg, Int32), float32Cache SimpleAggregateFunction(sum, Float64)) ENGINE = AggregatingMergeTree() ORDER BY key")
+    engine.execute("CREATE MATERIALIZED VIEW IF NOT EXISTS test_cache_mv TO test_cache AS SELECT avgState(int32), sum(float32) FROM all_types")
+    engine.execute("CREATE TABLE test_insert_file (uint32 UInt32, string String, date Date) ENGINE = Memory")
+    engine.execute("INSERT INTO all_types VALUES", VALUES)
+    return engine
+
+
+def test_every_type_comes_back(everything):
+    row = everything.fetchrow("SELECT * FROM all_types")
+    want = [*VALUES]
+    want[15] += "\0" * 27
+    assert [*row[:]] == want and isinstance(row["uint64"], int) and isinstance(row["ipv4"], ipaddress.IPv4Address)
+    assert everything.fetchval("SELECT count() FROM test_cache") == 1 and everything.fetchval("SELECT key FROM test_cache") == ""
+    with pytest.raises(EngineError):
+        everything.execute("INSERT INTO all_types (uint128) VALUES", (2**128,))
+
+
+def test_absent_fields_get_defaults(everything):
+    everything.execute("INSERT INTO all_types FORMAT JSONEachRow", {"decimal32": 32}, {"fixed_string": "s", "nullable": 3})
+    rows = everything.fetch("SELECT * FROM all_types WHERE string = ''")
+    assert sorted(r["decimal32"] for r in rows) == [0, 32] and {r["fixed_string"].strip("\0") for r in rows} == {"", "s"} and {r["nullable"] for r in rows} == {None, 3}
+    assert all(r["uint8"] == 0 and r["date"] is None and r["tuple"] == (0, "") and r["array_uint8"] == [] and r["enum8"] == "hello" for r in rows)
+    everything.insert_file("INSERT INTO test_insert_file FORMAT JSONEachRow", b'[\n  {"uint32": 1},\n  {"string": "x",\n "date": "2024-01-03"}\n]')
+    assert sorted(r[:] for r in everything.fetch("SELECT * FROM test_insert_file")) == [(0, "x", dt.date(2024, 1, 3)), (1, "", dt.date(1970, 1, 1))]
+
+
+def test_csv_rules(everything):
+    everything.insert_file("INSERT INTO test_insert_file FORMAT CSV", io.BytesIO(b'uint32,string,date\n  1,"say ""hi"", you",2024-01-03\n  2,,2024-01-03\n  3,"",2024-01-03\n'))
+    assert sorted(r[:2] for r in everything.fetch("SELECT * FROM test_insert_file")) == [(1, 'say "hi", you'), (2, ""), (3, "")]
+
+
+def test_views_hold_for_every_engine(spark, engine):
+    for t in ("vs", "vt", "vu"):
+        engine.execute(f"DROP TABLE IF EXISTS {t}")
+    engine.execute("CREATE TABLE vs (k String, v Int64) ENGINE = Memory")
+    engine.execute("CREATE TABLE vt (k String, n SimpleAggregateFunction(sum, Int64)) ENGINE = AggregatingMergeTree() ORDER BY k")
+    engine.execute("CREATE MATERIALIZED VIEW vm TO vt AS SELECT k, count() AS n FROM vs GROUP BY k")
+    Engine(spark).execute("INSERT INTO vs VALUES", ("a", 1), ("a", 2))
+    engine.execute("INSERT INTO vs VALUES", ("a", 3))
+    assert engine.fetch("SELECT k, n FROM vt FINAL")[0][:] == ("a", 3) and len(engine.fetch("SELECT * FROM vt")) == 2
+    engine.execute("CREATE TABLE vu (k Int8) ENGINE = Memory")
+    engine.execute("CREATE MATERIALIZED VIEW vn TO vu AS SELECT CAST(k AS INT) AS k FROM vs")
+    with pytest.raises(EngineError):  # the second view can't take the row, so no table has it
+        engine.execute("INSERT INTO vs VALUES", ("b", 1))
+    assert engine.fetchval("SELECT count() FROM vs") == 3 and engine.fetchval("SELECT sum(n) FROM vt") == 3
+    engine.execute("DROP TABLE vn")
+    engine.execute("INSERT INTO vs VALUES", ("b", 1))
+    assert engine.fetchval("SELECT count() FROM vs") == 4
+
+
+def test_totals_come_after_the_limit(engine):
+    query = "SELECT k, count() AS n FROM VALUES ('a'), ('a'), ('b'), ('c') t(k) GROUP BY k WITH TOTALS"
+    assert [r["n"] if r else None for r in engine.fetch(f"{query} ORDER BY n DESC LIMIT 1")] == [2, None, 4]
+    assert [r["n"] if r else None for r in engine.fetch(f"{query} HAVING n > 1")] == [2, None, 4]
+    assert len(engine.fetch(f"{query} LIMIT 2")) == 4
+    with pytest.raises(EngineError):
+        engine.fetch(f"{query} LIMIT 2, 3")
+
+
+def test_sessions_and_sliding_windows_of_streams(spark, tmp_path):
+    spark.sql("SELECT id % 3 AS user_id, timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, cast(id * id as int)) AS ts FROM range(60)").write.parquet(str(tmp_path / "e"))
+    events = spark.read.parquet(str(tmp_path / "e"))
+    for name, f in (("slid", lambda e, late=None: windows.sliding(e, "2 hours", "1 hour", late=late)), ("sat", lambda e, late=None: windows.sessions(e, "40 minutes", "user_id", late=late))):
+        stream = f(spark.readStream.schema(events.schema).parquet(str(tmp_path / "e")), "1 hour")
+        q = stream.writeStream.format("memory").queryName(name).outputMode("complete").option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start()
+        q.awaitTermination(120)
+        assert sorted(map(tuple, spark.table(name).collect())) == sorted(map(tuple, f(events).collect()))
+    q = windows.running(spark.readStream.schema(events.schema).parquet(str(tmp_path / "e")), "user_id").writeStream.format("memory").queryName("ran").outputMode("update").option("checkpointLocation", str(tmp_path / "r")).trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    assert {r.user_id: r.n for r in spark.sql("SELECT user_id, max(n) AS n FROM ran GROUP BY user_id").collect()} == {0: 20, 1: 20, 2: 20}
+
+
+def test_late_rows_are_left_out(spark, tmp_path):
+    schema = "ts timestamp_ntz"
+    for k, times in enumerate((["2024-01-01 10:00:00", "2024-01-01 20:00:00"], ["2024-01-01 20:10:00"], ["2024-01-01 10:30:00"], ["2024-01-02 20:00:00"])):
+        spark.createDataFrame([(dt.datetime.fromisoformat(t),) for t in times], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / f"e/{k}"))
+    stream = windows.tumbling(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(tmp_path / "e")), late="1 hour")
+    q = stream.writeStream.format("memory").queryName("late").outputMode("append").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    assert {r.w.hour: r.n for r in spark.table("late").collect()} == {10: 1, 20: 2}
+
+
+def test_asof_and_range_joins(spark):
+    left = spark.createDataFrame([(1, 5, "a"), (1, 1, "b"), (None, 5, "c"), (2, 5, "d"), (1, None, "e")], "k int, t int, row string")
+    right = spark.createDataFrame([(1, 2, 10), (1, 5, 20), (1, 5, 21), (None, 1, 30), (2, 6, 40)], "k int, t int, v int")
+    assert {r.row: r.v for r in joins.asof(left, right, "k", "t", "v", "v").collect()} == {"a": 21, "b": None, "c": None, "d": None, "e": None}
+
+
+def test_udf_and_udtf(engine):
+    class Pairs:
+        def eval(self, n: int):
+            for k in range(n):
+                yield (k,)
+
+    engine.register("wq_pairs", F.udtf(Pairs, returnType="k int"))
+    engine.register("wq_plus", F.pandas_udf(lambda s: s + 1, "long"))
+    assert [r[0] for r in engine.fetch("SELECT wq_plus(k) FROM wq_pairs(3) ORDER BY k")] == [1, 2, 3]

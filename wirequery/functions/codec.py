@@ -17,7 +17,7 @@ from pyspark.sql import types as S
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ..errors import EngineError
-from ..types import COMPOSITE, UNSIGNED, Type, parse, spark_type
+from ..types import COMPOSITE, UNSIGNED, WIDE, Type, parse, spark_type
 
 # Escapes of the wire text.
 ESCAPES = {"b": "\b", "f": "\f", "r": "\r", "n": "\n", "t": "\t", "0": "\0", "'": "'"}
@@ -48,6 +48,17 @@ def quote(c: Column) -> Column:
     return F.concat(F.lit("'"), F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("\\'")), F.lit("'"))
 
 
+def wide(c: Column, name: str) -> Column:
+    """Canonical digits of an integer of 128 or 256 bits; text that isn't one, or is out of range, is an error."""
+    low, high = WIDE[name]
+    digits = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.trim(c), r"^\+", ""), r"^(-?)0+(?=\d)", "$1"), "^-0$", "0")
+    size = F.regexp_replace(digits, "^-", "")
+    most = F.when(digits.startswith("-"), str(-low)).otherwise(str(high))
+    over = (F.length(size) > F.length(most)) | ((F.length(size) == F.length(most)) & (size > most))
+    bad = ~digits.rlike(r"^-?\d+$") | over
+    return F.when(bad, F.raise_error(F.concat(F.lit(f"not in the range of {name}: "), c)).cast("string")).otherwise(digits)
+
+
 def _scalar(c: Column, t: Type) -> Column:
     name = t.name
     if name == "Bool":
@@ -58,8 +69,8 @@ def _scalar(c: Column, t: Type) -> Column:
         return F.lower(c)
     if name in ("IPv4", "IPv6"):
         return c
-    if name in ("Int256", "UInt256"):
-        return F.regexp_replace(F.regexp_replace(c, r"^\+", ""), r"^(-?)0+(?=\d)", "$1")
+    if name in WIDE:
+        return wide(c, name)
     if name == "Date":
         return F.nullif(c, F.lit("0000-00-00")).cast("date")
     if name in ("DateTime", "DateTime64"):
@@ -194,8 +205,11 @@ def _plain(text: str, t: Type):
         return text
     if name == "UUID":
         return text.lower()
-    if name in ("Int256", "UInt256"):
-        return str(int(text))
+    if name in WIDE:
+        n = int(text)
+        if not WIDE[name][0] <= n <= WIDE[name][1]:
+            raise EngineError(f"not in the range of {name}: {n}")
+        return str(n)
     if name == "Date":
         return None if text == "0000-00-00" else dt.date.fromisoformat(text)
     if name in ("DateTime", "DateTime64"):
@@ -243,6 +257,10 @@ def encode(c: Column, t: S.DataType, inner: bool = True, wire: bool = False) ->
     return F.coalesce(out, F.lit("\\N" if wire and not inner else "NULL"))
 
 
+#: Exact types of values without inner ones.
+SCALARS = {type(None), bool, int, float, str, Decimal, dt.date, dt.datetime, uuid.UUID, ipaddress.IPv4Address, ipaddress.IPv6Address}
+
+
 def literal(v) -> str:
     """The SQL literal of a Python value; dispatch is on the exact type."""
     kind = type(v)
@@ -268,7 +286,7 @@ def literal(v) -> str:
         return "[" + ",".join(map(literal, v)) + "]"
     if kind is dict:
         return "{" + ",".join(f"{literal(k)}:{literal(x)}" for k, x in v.items()) + "}"
-    raise EngineError(f"Unrecognized type: '{kind}'. The value type should be exactly one of int, float, str, date, datetime, tuple, list, dict, UUID, Decimal, IPv4Address, IPv6Address, bool or None.")
+    raise EngineError(f"no literal for a value of {kind}; subclasses of known types count as unknown")
 
 
 def rows_literal(*rows) -> str:
@@ -291,3 +309,27 @@ def bind(v):
 def _column(v) -> Column:
     out = bind(v)
     return out if isinstance(out, Column) else F.lit(out)
+
+
+# Python types of values that Spark holds as text.
+_AS_PYTHON = {"UUID": uuid.UUID, "IPv4": ipaddress.IPv4Address, "IPv6": ipaddress.IPv6Address, **dict.fromkeys(WIDE, int), "UInt64": int}
+
+
+def converter(t: Type):
+    """A function from a collected value to the Python value of t, or None if they are the same."""
+    if t.name in _AS_PYTHON:
+        kind = _AS_PYTHON[t.name]
+        return lambda v: None if v is None else kind(v)
+    if t.name in ("Nullable", "LowCardinality", "SimpleAggregateFunction"):
+        return converter(t.inner[-1])
+    inner = [converter(x) for x in t.inner]
+    if not any(inner) or t.name == "AggregateFunction":
+        return None
+    same = lambda v: v
+    inner = [f or same for f in inner]
+    if t.name == "Array":
+        return lambda v: None if v is None else [inner[0](x) for x in v]
+    if t.name == "Map":
+        return lambda v: None if v is None else {inner[0](k): inner[1](x) for k, x in v.items()}
+    row = lambda v: None if v is None else tuple(f(x) for f, x in zip(inner, v, strict=True))
+    return (lambda v: None if v is None else [row(x) for x in v]) if t.name == "Nested" else row

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping
 from typing import Any
 
-_TOTALS = "the row is empty: it stands between the rows and the totals of a query WITH TOTALS"
+_TOTALS = "this record only parts the rows from the totals of a query WITH TOTALS"
 
 
 class Record(Mapping):
@@ -19,12 +19,12 @@ class Record(Mapping):
     def __getitem__(self, key: str | int | slice) -> Any:
         if isinstance(key, str):
             if not self._values:
-                raise KeyError(f"Empty row. {_TOTALS}")
+                raise KeyError(_TOTALS)
             if key not in self._index:
                 raise KeyError(f"no field '{key}' in {list(self._index)}")
             return self._values[self._index[key]]
         if not self._values and not isinstance(key, slice):
-            raise IndexError(f"Empty row. {_TOTALS}")
+            raise IndexError(_TOTALS)
         try:
             return self._values[key]
         except IndexError as e:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import uuid
 
 import numpy as np
@@ -22,19 +23,34 @@ JSON = ("JSONEachRow",)
 PARQUET = ("Parquet",)
 
 
-def staged(spark: SparkSession, data: bytes) -> str:
-    """A file with data where the driver and the executors see it."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or "/tmp/wirequery-shared"
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{base}/ingest-{uuid.uuid4().hex}")
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.deleteOnExit(path)
-    out = fs.create(path)
-    out.write(bytearray(data))
-    out.close()
+#: Bytes of a file that pass from Python at once.
+PIECE = 4 << 20
+
+
+def folder(spark: SparkSession) -> str:
+    """A fresh path where the driver and the executors see it, removed when the driver's JVM ends."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise EngineError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = "/tmp/wirequery-shared"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/ingest-{uuid.uuid4().hex}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
     return path.toString()
 
 
+def staged(spark: SparkSession, data) -> str:
+    """A file with data: bytes, or a binary file, copied in pieces."""
+    name = folder(spark)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path)
+    source = data if hasattr(data, "read") else io.BytesIO(data)
+    while piece := source.read(PIECE):
+        out.write(bytearray(piece))
+    out.close()
+    return name
+
+
 def _fields(lines: DataFrame, schema: S.StructType) -> DataFrame:
     """Columns of raw TSV lines, decoded by the schema's types; a line of another width is an error."""
     parts = F.split("value", "\t", -1)
@@ -79,7 +95,10 @@ def read(spark: SparkSession, name: str, path: str, schema: S.StructType) -> Dat
         found = spark.read.parquet(path)
         return found.select(*[F.col(f.name).cast(f.dataType) if f.name in found.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
     if name in JSON:
-        return spark.read.schema(schema).option("mode", "FAILFAST").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").json(path)
+        first = _text(spark, path).filter(F.trim("value") != "").limit(1).collect()
+        whole = bool(first) and first[0].value.lstrip().startswith("[")  # an array, maybe over many lines
+        reader = spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", whole)
+        return reader.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").json(path)
     if name in TYPED:
         names, types = (r.value.split("\t") for r in _text(spark, path).limit(2).collect())
         own = S.StructType([S.StructField(n, S.StringType(), True, {"ch_type": t}) for n, t in zip(names, types, strict=True)])
@@ -91,9 +110,10 @@ def read(spark: SparkSession, name: str, path: str, schema: S.StructType) -> Dat
     headed = _headed(first[0].value if first else None, sep, schema)
     if name in TSV:
         return _fields(_below(spark, path, 1) if headed else _text(spark, path), schema)
-    # A CSV row with too few or too many fields, or a field of a wrong type, fails.
+    # A CSV row with too few or too many fields, or a field of a wrong type, fails. A doubled quote stands for one; an empty
+    # field is null here and becomes the default of a column that isn't nullable.
     raw = S.StructType([S.StructField(f.name, f.dataType if not isinstance(f.dataType, (S.ArrayType, S.MapType, S.StructType)) else S.StringType()) for f in schema])
-    found = spark.read.schema(raw).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").csv(path, header=headed, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True, mode="FAILFAST", enforceSchema=True)
+    found = spark.read.schema(raw).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").csv(path, header=headed, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True, mode="FAILFAST", enforceSchema=True, quote='"', escape='"', nullValue="\\N", emptyValue="")
     return found.select(*[codec.decode(F.col(f.name), (f.metadata or {}).get("ch_type") or name_of(f.dataType)).alias(f.name) if raw[f.name].dataType != f.dataType else F.col(f.name) for f in schema])
 
 
@@ -103,12 +123,6 @@ def lines(df: DataFrame) -> DataFrame:
     return df.select(F.concat_ws("\t", *fields).alias("line"))
 
 
-def header(df: DataFrame) -> list[str]:
-    """The two header lines of TSVWithNamesAndTypes."""
-    kinds = [(f.metadata or {}).get("ch_type") or (f"Nullable({name_of(f.dataType)})" if f.nullable and not isinstance(f.dataType, (S.ArrayType, S.MapType, S.StructType)) else name_of(f.dataType)) for f in df.schema]
-    return ["\t".join(df.columns), "\t".join(kinds)]
-
-
 def json_lines(df: DataFrame) -> DataFrame:
     """JSONEachRow lines, nulls kept, in one column `line`."""
     return df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}).alias("line"))

@@ -31,9 +31,10 @@ class Type:
 
 
 # The type names of the dialect.
-SIGNED = {"Int8": S.ByteType(), "Int16": S.ShortType(), "Int32": S.IntegerType(), "Int64": S.LongType(), "Int128": S.DecimalType(38, 0)}
-UNSIGNED = {"UInt8": S.ShortType(), "UInt16": S.IntegerType(), "UInt32": S.LongType(), "UInt64": S.DecimalType(20, 0), "UInt128": S.DecimalType(38, 0)}
-TEXT = ("String", "FixedString", "Enum8", "Enum16", "UUID", "IPv4", "IPv6", "UInt256", "Int256")
+SIGNED = {"Int8": S.ByteType(), "Int16": S.ShortType(), "Int32": S.IntegerType(), "Int64": S.LongType()}
+UNSIGNED = {"UInt8": S.ShortType(), "UInt16": S.IntegerType(), "UInt32": S.LongType(), "UInt64": S.DecimalType(20, 0)}
+WIDE = {"Int128": (-(2**127), 2**127 - 1), "UInt128": (0, 2**128 - 1), "Int256": (-(2**255), 2**255 - 1), "UInt256": (0, 2**256 - 1)}
+TEXT = ("String", "FixedString", "Enum8", "Enum16", "UUID", "IPv4", "IPv6", *WIDE)
 PLAIN = {"Bool": S.BooleanType(), "Float32": S.FloatType(), "Float64": S.DoubleType(), "Date": S.DateType(), "DateTime": S.TimestampNTZType(), "DateTime64": S.TimestampNTZType(), "Nothing": S.NullType()}
 DECIMALS = {"Decimal32": 9, "Decimal64": 18, "Decimal128": 38}
 COMPOSITE = ("Tuple", "Map", "Array", "Nested")
@@ -69,7 +70,7 @@ def parse(text: str) -> Type:
     text = text.strip()
     m = re.fullmatch(r"([A-Za-z]\w*)\s*(?:\((.*)\))?", text, re.S)
     if not m:
-        raise EngineError(f"Unrecognized type name: '{text}'")
+        raise EngineError(f"no type of this dialect: {text!r}")
     name, args = ALIASES.get(m[1], m[1]), split_args(m[2] or "")
     if name in SIGNED or name in UNSIGNED or name in PLAIN or name in TEXT or name in DECIMALS or name == "Decimal":
         return Type(name, args=tuple(args))
@@ -82,7 +83,7 @@ def parse(text: str) -> Type:
         return Type(name, tuple(parse(t) for _, t in named), tuple(n for n, _ in named))
     if name in ("SimpleAggregateFunction", "AggregateFunction") and args:
         return Type(name, tuple(map(parse, args[1:])), args=(args[0],))
-    raise EngineError(f"Unrecognized type name: '{text}'")
+    raise EngineError(f"no type of this dialect: {text!r}")
 
 
 def spark_type(t: Type) -> S.DataType:
@@ -129,3 +130,11 @@ def name_of(t: S.DataType) -> str:
         return f"Decimal({t.precision}, {t.scale})"
     names = {"boolean": "Bool", "tinyint": "Int8", "smallint": "Int16", "int": "Int32", "bigint": "Int64", "float": "Float32", "double": "Float64", "date": "Date", "timestamp_ntz": "DateTime64(6)", "timestamp": "DateTime64(6)", "void": "Nothing"}
     return names.get(t.simpleString(), "String")
+
+
+def inner_texts(text: str) -> list[str]:
+    """The type strings of the elements of a tuple."""
+    inside = text[text.index("(") + 1 : text.rindex(")")]
+    if text.strip().split("(")[0] in ("Nullable", "LowCardinality"):
+        return inner_texts(inside)
+    return [m[2] if (m := _NAMED.fullmatch(a)) else a for a in split_args(inside)]
