@@ -1,9 +1,9 @@
 """Toxic passages: maximum-scoring segments over token log-odds, calibrated by extreme-value statistics.
 
 A token's toxic share is estimated under a chain of Dirichlet priors: its 4-byte prefix leans on the base rate, its
-5-byte prefix on that, the token on its 5-byte prefix. Its score is the log-odds against the base rate, less a drift.
-A linear scan (Ruzzo and Tompa) finds every maximal segment of positive score; a segment is a passage if its E-value
-K * tokens * exp(-lambda * score) is small. The text's score is the chance that it is toxic given the best segment.
+5-byte prefix on that, the token on its 5-byte prefix. Its score is the log-odds against the base rate, less a drift, for
+every token. A linear scan (Ruzzo and Tompa) finds every maximal segment of positive score; runs of one sign are summed
+first, which changes no segment. A segment is a passage if its E-value K * tokens * exp(-lambda * score) is small. The text's score is the chance that it is toxic given the best segment.
 
 Counts are kept in BUCKETS hashed cells, so the model has a fixed size. Null and empty texts have no segment and get the
 least score. Without labels every score is 0. Whole texts are read.
@@ -22,9 +22,9 @@ from . import text as T
 from .common import cut
 from .quality import sample
 
-#: Labelled rows that the model is fitted on; hashed cells; strength of the priors; drift; least log-odds that counts;
-#: the E-value up to which a segment is a passage.
-SAMPLE, BUCKETS, PRIOR, DRIFT, LEAST, E_VALUE = 30_000, 1 << 18, 12.0, 0.25, 1.2, 0.01
+#: Labelled rows that the model is fitted on; hashed cells; strength of the priors; drift; the E-value up to which a segment
+#: is a passage; the score of clean texts, as a share of them, from which the tail of their law is fitted.
+SAMPLE, BUCKETS, PRIOR, DRIFT, E_VALUE, TAIL = 30_000, 1 << 18, 12.0, 1.2, 0.01, 0.5
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
@@ -69,17 +69,21 @@ def log_odds(model: Model, cells: np.ndarray) -> np.ndarray:
     return np.log(share / (1 - share)) - np.log(model.rate / (1 - model.rate))
 
 
-def segments(at: np.ndarray, s: np.ndarray) -> list[tuple[int, int, float]]:
-    """All maximal-scoring segments (first token, end, score); at, s: the tokens above 0; all others score -DRIFT.
+def segments(score: np.ndarray) -> list[tuple[int, int, float]]:
+    """All maximal-scoring segments (first token, end, score) of a text's token scores.
 
-    One pass over the positive tokens; each candidate is pushed and merged at most once.
+    A segment begins and ends with a run of positive tokens, so runs are summed and one pass goes over the positive ones;
+    each candidate is pushed and merged at most once.
     """
+    if not len(score):
+        return []
+    positive = score > 0
+    edge = np.flatnonzero(np.concatenate(([True], positive[1:] != positive[:-1])))
+    total = np.concatenate(([0.0], np.cumsum(score)))
+    begin, end = edge, np.append(edge[1:], len(score))
+    keep = positive[edge]
     stack: list[tuple[int, int, float, float]] = []  # first, end, total before, total after
-    total, end = 0.0, 0
-    for k, x in zip(at.tolist(), s.tolist(), strict=True):
-        total -= DRIFT * (k - end)
-        new = (k, k + 1, total, total + x)
-        total, end = total + x, k + 1
+    for new in zip(begin[keep].tolist(), end[keep].tolist(), total[begin[keep]].tolist(), total[end[keep]].tolist(), strict=True):
         while True:
             i = len(stack) - 1
             while i >= 0 and stack[i][2] >= new[2]:
@@ -97,12 +101,9 @@ def scan(model: Model, data: np.ndarray, offs: np.ndarray):
     for i, j in T.slices(offs):
         part, local = data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]
         cells, starts, ends, first = tokens(part, local)
-        odds = log_odds(model, cells)
-        hot = np.flatnonzero(odds >= LEAST)
-        bound = np.searchsorted(hot, first)
+        score = log_odds(model, cells) - DRIFT
         for d in range(j - i):
-            mine = hot[bound[d] : bound[d + 1]]
-            found = segments(mine - first[d], odds[mine] - DRIFT) if len(mine) else []
+            found = segments(score[first[d] : first[d + 1]])
             yield int(first[d + 1] - first[d]), [(int(starts[first[d] + a] - local[d]), int(ends[first[d] + b - 1] - local[d]), s) for a, b, s in found]
 
 
@@ -135,22 +136,19 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE, key: str = "doc
 def calibrate(model: Model, n: np.ndarray, s: np.ndarray) -> None:
     """lambda and log K so that the best segments of clean texts follow the Gumbel law of their lengths.
 
-    lambda: the exponential tail of the clean scores above 0 (a score of 0 is the law cut off below), shrunk to 1, which
-    log-odds scores have by construction; K: the expected number of clean texts with a score above 0 is the observed one.
+    With K n exp(-lambda s) segments of score s or more expected in n tokens, lambda comes from the tail of the clean scores
+    less what their length adds, and K from the number of clean texts in the tail. lambda is shrunk to 1, which log-odds
+    scores have by construction.
     """
     if not len(n):
         return
-    above = s[s > 0]
-    model.lam = (len(above) + 20) / (above.sum() + 20)
-    if not len(above):
-        above = np.array([1e-3])
-    # with rate K n exp(-lambda s) of segments, P(s > 0 beyond the least score) = 1 - exp(-K n exp(-lambda least))
-    share, least = max(len(above), 1) / len(n), LEAST - DRIFT
-    lo, hi = -40.0, 10.0
-    for _ in range(60):
-        mid = (lo + hi) / 2
-        lo, hi = (mid, hi) if (-np.expm1(-np.exp(np.minimum(mid - model.lam * least, 50)) * n)).mean() < share else (lo, mid)
-    model.log_k = (lo + hi) / 2
+    for _ in range(20):  # the threshold depends on lambda
+        y = s - np.log(np.maximum(n, 1)) / model.lam
+        low = np.quantile(y, TAIL)
+        above = y[y > low] - low
+        model.lam = float((len(above) + 20) / (above.sum() + 20))
+    share = max((y > low).mean(), 1 / len(y))
+    model.log_k = float(np.log(-np.log1p(-min(share, 0.999)))) + model.lam * float(low)
 
 
 def posterior(model: Model, n: np.ndarray, s: np.ndarray) -> np.ndarray:
