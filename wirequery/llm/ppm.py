@@ -3,15 +3,18 @@
 The model is the trie of all byte contexts of up to ORDER bytes with the bytes that follow them in the training texts.
 A byte's probability is taken in its longest context; unseen there, the coder escapes (method D: half the distinct
 followers / occurrences; a seen byte loses half a count) to the next shorter context, in which the bytes already ruled out are excluded, and at last to
-a uniform choice. Texts are framed by a start byte (0xFE, ORDER times) and an end byte (0xFF), which UTF-8 never uses.
+a uniform choice. What is coded is the sequence of a text's words, the same that the word model scores: A-Z as a-z, one blank
+between two words. Texts are framed by a start byte (0xFE, ORDER times) and an end byte (0xFF), which UTF-8 never uses.
 
-How it scales: each partition of docs is a block. A block's distinct (context, byte) pairs and words are counted once;
+How it scales: docs are written once, with the partition of each row as its block, so any docs will do and lost executors
+change nothing. A block's distinct (context, byte) pairs and words are counted once;
 pairs are grouped by the last three context bytes, so contexts of 3 and more bytes are complete there, while the tables
 of shorter contexts have a fixed bound (2^24 pairs) and are broadcast. Log-probabilities go back to the blocks that asked
-and are cogrouped with their texts: memory follows the block, never the corpus. docs must have stable partitions (a table
-scan or a written table), as it is read twice; a pair that is missing at the end raises an error.
+and are cogrouped with their texts: memory follows the block, never the corpus. A pair that is missing at the end
+raises an error.
 
-Null texts count as empty: their score is that of the end alone. Without training texts every byte is uniform.
+Null texts count as empty: their score is that of the end alone. Without training texts every byte is uniform. Rows that
+share a key each have a result; equal texts get equal scores. Only the key and the text are read.
 """
 
 from __future__ import annotations
@@ -26,12 +29,31 @@ from pyspark.sql import functions as F
 from . import text as T
 from .common import cut
 
-ORDER, START, STOP, ALPHABET, UNIT = 4, 0xFE, 0xFF, 256, 1e7
+ORDER, START, STOP, ALPHABET, UNIT = 5, 0xFE, 0xFF, 256, 1e7
 _U8 = np.uint64(8)
+#: Bits of a key below its last two, and its last three, context bytes.
+_LOW, _GROUP = np.uint64(8 * (ORDER - 1)), np.uint64(8 * (ORDER - 2))
+
+
+def spell(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The texts as words with one blank between two, A-Z as a-z: (bytes, offsets)."""
+    starts, ends, first = T.spans(~T.SPACE[data], offs)
+    keep = ~T.SPACE[data]
+    last = np.zeros(len(ends), bool)
+    last[first[1:][np.diff(first) > 0] - 1] = True
+    blank = ends[~last]  # a word that isn't its text's last is followed by a blank
+    keep[blank] = True
+    out = data.copy()
+    out[blank] = 32
+    upper = (out >= 65) & (out <= 90)
+    out[upper] += 32
+    at = np.concatenate(([0], np.cumsum(keep)))
+    return out[keep], at[offs]
 
 
 def pairs(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(key, text) of every byte and end: the context's bytes, last one first, then the byte; 8 bits each."""
+    """(key, text) of every byte and end of the spelled texts: the context's bytes, last one first, then the byte; 8 bits each."""
+    data, offs = spell(data, offs)
     n, sizes = len(offs) - 1, np.diff(offs)
     frame = np.full(len(data) + n * (ORDER + 1), START, np.uint64)
     at = offs[:-1] + np.arange(n) * (ORDER + 1) + ORDER
@@ -94,15 +116,17 @@ def _count(batches):
     """(block, kind, key, n): kind 0 pairs, 1 words, 2 pairs of order 2, 3 texts; n: their training occurrences."""
     held: dict[tuple[int, int], list] = {}
     for batch in batches:
-        block = batch.column(0)[0].as_py() if len(batch) else 0
+        blocks = batch.column(0).to_numpy()
         data, offs = T.raw(batch.column(1))
         train = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
-        for i, j in T.slices(offs):
+        runs = np.flatnonzero(np.concatenate(([True], blocks[1:] != blocks[:-1]))).tolist() if len(blocks) else []
+        spans = [(a + i, a + j, int(blocks[a])) for a, b in zip(runs, [*runs[1:], len(blocks)]) for i, j in T.slices(offs[a : b + 1])]
+        for i, j, block in spans:
             part, local = data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]
             key, owner = pairs(part, local)
             h, _, _, first = T.words(part, local)
             word_owner = np.repeat(np.arange(j - i), np.diff(first))
-            low = ((key >> np.uint64(24)) << _U8) | (key & np.uint64(255))
+            low = ((key >> _LOW) << _U8) | (key & np.uint64(255))
             learn = train[i:j]
             for kind, k, o in ((0, key, owner), (1, _word(h), word_owner), (2, low[learn[owner]], owner[learn[owner]])):
                 parts = held.setdefault((block, kind), [])
@@ -187,24 +211,28 @@ def step(out: np.ndarray, todo: np.ndarray, n: np.ndarray, total: np.ndarray, ki
 
 def logs(trie: Trie, key: np.ndarray, n: np.ndarray) -> np.ndarray:
     """log10 probability of each pair; key: sorted, distinct, all that share three last context bytes; n: training counts."""
-    sym, n = key & np.uint64(255), n.astype(float)
-    ctx, g4 = _groups(key >> _U8)
-    total4, kinds4 = np.bincount(g4, n, len(ctx)), np.bincount(g4, n > 0, len(ctx))
-    low = ((key >> np.uint64(16)) << _U8) | sym
-    key3, inverse = np.unique(low, return_inverse=True)
-    n3 = np.bincount(inverse, n, len(key3))
-    ctx3, g3 = _groups(key3 >> _U8)
-    total3, kinds3 = np.bincount(g3, n3, len(ctx3)), np.bincount(g3, n3 > 0, len(ctx3))
-    gone4 = np.bincount(g4, np.where(n > 0, n3[inverse], 0), len(ctx))
-    weigh = _at(trie.key[0], ((key3 >> np.uint64(16)) << _U8) | (key3 & np.uint64(255)), trie.n[0])
-    gone3 = np.bincount(g3, np.where(n3 > 0, weigh, 0), len(ctx3))
+    byte = np.uint64(255)
+    pair, count, at = key, n.astype(float), np.arange(len(key))  # of the order at hand; at: the pair of each key there
     out, todo = np.zeros(len(key)), np.arange(len(key))
-    _, rest = step(out, todo, n, total4[g4], kinds4[g4])
-    todo = todo[rest]
-    at3, of4 = g3[inverse[todo]], g4[todo]
-    _, rest = step(out, todo, n3[inverse[todo]], total3[at3] - gone4[of4], kinds3[at3] - kinds4[of4])
-    todo, at3 = todo[rest], at3[rest]
-    out[todo] += trie.log((key[todo] >> np.uint64(24)), sym[todo], gone3[at3], kinds3[at3].astype(float))
+    gone_n, gone_d = np.zeros(len(key)), np.zeros(len(key))  # what the longer context of each key has excluded
+    for order in range(ORDER, 2, -1):
+        ctx, g = _groups(pair >> _U8)
+        total, kinds = np.bincount(g, count, len(ctx)), np.bincount(g, count > 0, len(ctx)).astype(float)
+        low = ((pair >> np.uint64(16)) << _U8) | (pair & byte)
+        if order > 3:
+            shorter, inverse = np.unique(low, return_inverse=True)
+            weight = np.bincount(inverse, count, len(shorter))
+            seen = weight[inverse]
+        else:
+            seen = _at(trie.key[0], low, trie.n[0])
+        gone = np.bincount(g, np.where(count > 0, seen, 0), len(ctx))
+        of = g[at[todo]]
+        _, rest = step(out, todo, count[at[todo]], total[of] - gone_n[todo], kinds[of] - gone_d[todo])
+        todo, of = todo[rest], of[rest]
+        gone_n[todo], gone_d[todo] = gone[of], kinds[of]
+        if order > 3:
+            pair, count, at = shorter, weight, inverse[at]
+    out[todo] += trie.log(key[todo] >> _LOW, key[todo] & byte, gone_n[todo], gone_d[todo])
     return out
 
 
@@ -223,8 +251,8 @@ def _price(held):
                 continue
             block, key, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
             key = key.view(np.uint64)
-            split = int(np.searchsorted(key, (key[-1] >> np.uint64(16)) << np.uint64(16)))
-            if split == 0 and rest and rest[-1][1][-1] >> np.uint64(16) == key[-1] >> np.uint64(16):
+            split = int(np.searchsorted(key, (key[-1] >> _GROUP) << _GROUP))
+            if split == 0 and rest and rest[-1][1][-1] >> _GROUP == key[-1] >> _GROUP:
                 rest.append([block, key, n])
                 continue
             yield done(*(np.concatenate(x) for x in zip(*rest, [block[:split], key[:split], n[:split]], strict=True)))
@@ -272,7 +300,9 @@ def _sum(tokens: int, kinds: int, ends: int):
 def score(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Score all docs with the models of those that aren't held_out."""
     spark = docs.sparkSession
-    rows = docs.select(F.spark_partition_id().alias("block"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), (~held_out).alias("train"))
+    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    texts = cut(docs.select(F.spark_partition_id().alias("block"), F.col(key).cast("long").alias("doc_id"), body.alias("text"), held_out.alias("held_out")), "texts")
+    rows = texts.select("block", "text", (~F.col("held_out")).alias("train"))
     counts = cut(rows.mapInArrow(_count, "block int, kind int, key bigint, n bigint"), "counts")
     low = counts.filter("kind = 2").groupBy("key").agg(F.sum("n").alias("n")).toPandas()
     trie = spark.sparkContext.broadcast(Trie(low["key"].to_numpy(np.int64).view(np.uint64), low["n"].to_numpy(np.int64)))
@@ -282,7 +312,6 @@ def score(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "t
     tokens, kinds = (words or 0) + ends, (kinds or 0) + (ends > 0)
     word = counts.filter("kind = 1").join(by_word, "key").select("block", "kind", "key", F.col("c").alias("value"))
     pair = counts.filter("kind = 0").select("block", "key", "n")
-    pair = pair.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1), F.shiftright("key", 16)).sortWithinPartitions("key")
+    pair = pair.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1), F.shiftright("key", int(_GROUP))).sortWithinPartitions("key")
     price = pair.mapInArrow(_price(trie), "block int, kind int, key bigint, value bigint")
-    texts = docs.select(F.spark_partition_id().alias("block"), F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), held_out.alias("held_out"))
     return texts.groupBy("block").cogroup(price.unionByName(word).groupBy("block")).applyInArrow(_sum(tokens, kinds, ends), SCHEMA)
