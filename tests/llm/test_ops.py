@@ -49,6 +49,16 @@ def test_jaccard_is_exact(docs):
     assert kept.columns == docs.columns and kept.filter("doc_id is null").count() == 1
 
 
+def test_one_each_tells_rows_apart_by_key_and_text(spark):
+    a, b = "one two three four five six seven eight", "nothing of that kind is in this other text"
+    rows = [(1, a, "x"), (1, b, "y"), (2, a, "z"), (None, a, "u"), (None, "quite another text with no key at all", "v"), (1, a, "w"), (3, None, "p"), (3, None, "q"), (4, "", "r")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, cls string")
+    kept = [tuple(r) for r in jaccard.one_each(d).collect()]
+    assert [r[2] for r in sorted(kept, key=repr) if r[1] != a] == [r[2] for r in sorted((r for r in rows if r[1] != a), key=repr)]
+    assert len([r for r in kept if r[1] == a]) == 1 and next(r for r in kept if r[1] == a)[0] == 1
+    assert jaccard.one_each(d.limit(0)).count() == 0 and jaccard.one_each(d).columns == d.columns
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(30)] + [(100, 101), (7, 7)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
@@ -181,13 +191,21 @@ def test_alignment():
 
 def test_segments():
     rng = np.random.default_rng(2)
-    for _ in range(100):
-        x = np.where(rng.random(40) < 0.2, rng.random(40) * 2 + 0.1, -toxicity.DRIFT)
-        at = np.flatnonzero(x > 0)
-        best = max((x[i:j].sum() for i in range(40) for j in range(i + 1, 41)))
-        got = toxicity.segments(at, x[at])
-        assert math.isclose(max(s for *_, s in got), best) and all(math.isclose(x[a:b].sum(), s) for a, b, s in got)
+    for k in range(150):
+        x = np.round(rng.normal(-0.3, 1, 1 + k % 40), 2) if k % 2 else rng.integers(-2, 3, 1 + k % 40).astype(float)
+        whole = lambda a, b: (a, b, x[a:b].sum())
+        want, todo = [], [(0, len(x))]
+        while todo:  # the best segment, then the best ones on its either side
+            a, b = todo.pop()
+            spans = [whole(i, j) for i in range(a, b) for j in range(i + 1, b + 1)]
+            best = max(spans, key=lambda t: (round(t[2], 9), t[0] - t[1]), default=None)
+            if best and best[2] > 1e-9:
+                want.append(best)
+                todo += [(a, best[0]), (best[1], b)]
+        got = toxicity.segments(x)
+        assert math.isclose(sum(t for *_, t in got), sum(t for *_, t in want), abs_tol=1e-6) and all(math.isclose(x[a:b].sum(), t, abs_tol=1e-9) for a, b, t in got)
         assert all(b <= c for (_, b, _), (c, _, _) in zip(got, got[1:]))
+    assert toxicity.segments(np.zeros(0)) == [] and toxicity.segments(np.array([1.0] * 10)) == [(0, 10, 10.0)]
 
 
 def test_classifiers(spark):
@@ -227,19 +245,56 @@ def test_fingerprints(spark, docs):
     assert fingerprint.neighbours(docs.limit(0)).count() == 0
 
 
-def test_ppm_sums_to_one():
-    data, offs = np.frombuffer(b"abracadabra abra", np.uint8), np.array([0, 16])
-    key, _ = ppm.pairs(data, offs)
-    u, n = np.unique(key, return_counts=True)
-    low = ((u >> np.uint64(24)) << np.uint64(8)) | (u & np.uint64(255))
-    trie = ppm.Trie(*(lambda v, i: (v, np.bincount(i, n)))(*np.unique(low, return_inverse=True)))
-    for ctx in (u[3] >> np.uint64(8), np.uint64(0x7A7A7A7A)):
-        every = (ctx << np.uint64(8)) | np.arange(256, dtype=np.uint64)
-        group = np.unique(np.concatenate((every, u[(u >> np.uint64(24)) == (ctx >> np.uint64(16))])))
-        group = group[(group >> np.uint64(16)) == (ctx >> np.uint64(8))]
-        counts = np.array([n[u == g][0] if (u == g).any() else 0 for g in group])
-        p = 10 ** ppm.logs(trie, group, counts)
-        assert math.isclose(p[(group >> np.uint64(8)) == ctx].sum(), 1.0, rel_tol=1e-9)
+def plain_ppm(train, text):
+    """log10 probability of a text by the same model in plain Python: method D, exclusion, contexts from the longest."""
+    spelled = lambda t: [*[ppm.START] * ppm.ORDER, *b" ".join(w for w in "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "").encode().split()), ppm.STOP]
+    counts = {}
+    for t in train:
+        b = spelled(t)
+        for i in range(ppm.ORDER, len(b)):
+            for k in range(ppm.ORDER + 1):
+                at = counts.setdefault(tuple(b[i - k : i]), {})
+                at[b[i]] = at.get(b[i], 0) + 1
+    out, b = 0.0, spelled(text)
+    for i in range(ppm.ORDER, len(b)):
+        gone = set()
+        for k in range(ppm.ORDER, -1, -1):
+            at = {x: n for x, n in counts.get(tuple(b[i - k : i]), {}).items() if x not in gone}
+            if b[i] in at:
+                out += math.log10((at[b[i]] - 0.5) / sum(at.values()))
+                break
+            if at:
+                out += math.log10(len(at) / (2 * sum(at.values())))
+                gone |= set(at)
+        else:
+            out -= math.log10(256 - len(gone))
+    return out
+
+
+def test_ppm_against_plain_python(spark):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice(WORDS) for _ in range(rng.randrange(1, 20))) for _ in range(40)] + [None, "", " \n", "Alpha\n BETA é", "alpha beta é", "alpha " * 3000]
+    texts += texts[:3]
+    rows = [(i if i != 5 else None, t, 1.0) for i, t in enumerate(texts)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, score double")
+    held = F.coalesce(F.col("doc_id") % 3 == 0, F.lit(False))
+    train = [t for i, t, _ in rows if i is None or i % 3]
+    words = lambda t: [w for w in "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "").encode().split()]
+    seen = {}
+    for t in train:
+        for w in [*words(t), None]:
+            seen[w] = seen.get(w, 0) + 1
+    n, v = sum(seen.values()), len(seen)
+    got = {r.doc_id: r for r in ppm.score(d.repartition(7), held).collect()}
+    assert len(got) == len(rows)
+    for i, t, _ in rows:
+        tokens, r = [*words(t), None], got[i]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(tokens), sum(w in seen for w in tokens), n) and r.held_out == bool(i is not None and i % 3 == 0)
+        assert math.isclose(r.base_score, sum(math.log10((seen.get(w, 0) + 1) / (n + v + 1)) for w in tokens), rel_tol=1e-9)
+        assert math.isclose(r.score, plain_ppm(train, t), rel_tol=1e-6, abs_tol=1e-5), (i, t)
+    assert ppm.score(d.limit(0), held).count() == 0
+    lone = ppm.score(d.filter("doc_id = 3"), F.lit(True)).first()  # nothing to learn from
+    assert lone.train_tokens == 0 and math.isclose(lone.score, -math.log10(256) * (len(texts[3]) + 1), rel_tol=1e-6)
 
 
 def test_warc(spark, tmp_path):
