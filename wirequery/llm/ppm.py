@@ -23,6 +23,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +31,8 @@ from . import text as T
 from .common import cut
 
 ORDER, START, STOP, ALPHABET, UNIT = 5, 0xFE, 0xFF, 256, 1e7
+#: Bytes of texts taken at a time; each takes up to some 100 bytes of memory meanwhile.
+SLICE = 1 << 18
 _U8 = np.uint64(8)
 #: Bits of a key below its last two, and its last three, context bytes.
 _LOW, _GROUP = np.uint64(8 * (ORDER - 1)), np.uint64(8 * (ORDER - 2))
@@ -120,8 +123,11 @@ def _count(batches):
         data, offs = T.raw(batch.column(1))
         train = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
         runs = np.flatnonzero(np.concatenate(([True], blocks[1:] != blocks[:-1]))).tolist() if len(blocks) else []
-        spans = [(a + i, a + j, int(blocks[a])) for a, b in zip(runs, [*runs[1:], len(blocks)]) for i, j in T.slices(offs[a : b + 1])]
+        spans = [(a + i, a + j, int(blocks[a])) for a, b in zip(runs, [*runs[1:], len(blocks)]) for i, j in T.slices(offs[a : b + 1], SLICE)]
         for i, j, block in spans:
+            if held and (block, 3) not in held:  # the block before is through
+                yield from _emit(held)
+                held = {}
             part, local = data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]
             key, owner = pairs(part, local)
             h, _, _, first = T.words(part, local)
@@ -134,6 +140,10 @@ def _count(batches):
                 if len(parts) == 12:
                     parts[:] = [_merge(*map(np.concatenate, zip(*parts, strict=True)))]
             held.setdefault((block, 3), []).append((np.zeros(1, np.uint64), np.array([learn.sum()])))
+    yield from _emit(held)
+
+
+def _emit(held: dict[tuple[int, int], list]):
     for (block, kind), parts in held.items():
         u, n = _merge(*map(np.concatenate, zip(*parts, strict=True)))
         for i in range(0, len(u), 100_000):
@@ -237,12 +247,18 @@ def logs(trie: Trie, key: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def _price(held):
-    """(block, kind, key, value) of pairs that come sorted by key; a group of three context bytes is worked on as a whole."""
+    """(block, kind, key, value, keys, values): keys and values of a block's pairs, packed; they come sorted by key, and a
+    group of three context bytes is worked on as a whole."""
 
     def done(block, key, n):
         u, g = _groups(key)
-        value = np.rint(-logs(held.value, u, np.bincount(g, n, len(u))) * UNIT).astype(np.int64)[g]
-        return pa.RecordBatch.from_arrays([pa.array(block), pa.array(np.zeros(len(block), np.int32)), pa.array(key.view(np.int64)), pa.array(value)], ["block", "kind", "key", "value"])
+        value = np.rint(-logs(held.value, u, np.bincount(g, n, len(u))) * UNIT).astype(np.int32)[g]
+        order = np.argsort(block, kind="stable")  # each block's pairs in one row
+        blocks, first = np.unique(block[order], return_index=True)
+        ends = np.append(first[1:], len(block))[: len(first)].tolist()
+        packed = [[x[order][a:b].tobytes() for a, b in zip(first.tolist(), ends, strict=True)] for x in (key, value)]
+        columns = [pa.array(blocks.astype(np.int32)), pa.array(np.zeros(len(blocks), np.int32)), *[pa.nulls(len(blocks), pa.int64())] * 2, *[pa.array(x, pa.binary()) for x in packed]]
+        return pa.RecordBatch.from_arrays(columns, ["block", "kind", "key", "value", "keys", "values"])
 
     def run(batches):
         rest: list[list[np.ndarray]] = []
@@ -270,15 +286,18 @@ def _sum(tokens: int, kinds: int, ends: int):
     bottom = tokens + kinds + 1
 
     def run(docs: pa.Table, model: pa.Table) -> pa.Table:
-        kind, key, value = (model.column(c).to_numpy() for c in ("kind", "key", "value"))
-        key = key.view(np.uint64)
-        order = np.lexsort((key, kind))
-        key, value, split = key[order], value[order], int((kind == 0).sum())
-        price, count = Table(key[:split], value[:split]), Table(key[split:], value[split:])
+        pair = model.filter(pc.equal(model.column("kind"), 0))
+        key, value = (np.frombuffer(b"".join(pair.column(c).to_pylist()), t) for c, t in (("keys", np.uint64), ("values", np.int32)))
+        order = np.argsort(key)
+        price = Table(key[order], value[order].astype(np.int64))
+        word = model.filter(pc.equal(model.column("kind"), 1))
+        key, value = word.column("key").to_numpy().view(np.uint64), word.column("value").to_numpy()
+        order = np.argsort(key)
+        count = Table(key[order], value[order])
         out: list[list] = [[] for _ in range(4)]
         for batch in docs.select(["text"]).to_batches(max_chunksize=1000):
             data, offs = T.raw(batch.column(0))
-            for i, j in T.slices(offs):
+            for i, j in T.slices(offs, SLICE):
                 part, local, m = data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], j - i
                 k, owner = pairs(part, local)
                 score = -np.bincount(owner, price.find(k), m) / UNIT
@@ -310,8 +329,8 @@ def score(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "t
     by_word = counts.filter("kind = 1").groupBy("key").agg(F.sum("n").alias("c"))
     words, kinds = by_word.agg(F.sum("c"), F.count(F.when(F.col("c") > 0, 1))).first()
     tokens, kinds = (words or 0) + ends, (kinds or 0) + (ends > 0)
-    word = counts.filter("kind = 1").join(by_word, "key").select("block", "kind", "key", F.col("c").alias("value"))
+    word = counts.filter("kind = 1").join(by_word, "key").select("block", "kind", "key", F.col("c").alias("value"), *[F.lit(None).cast("binary").alias(c) for c in ("keys", "values")])
     pair = counts.filter("kind = 0").select("block", "key", "n")
     pair = pair.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1), F.shiftright("key", int(_GROUP))).sortWithinPartitions("key")
-    price = pair.mapInArrow(_price(trie), "block int, kind int, key bigint, value bigint")
+    price = pair.mapInArrow(_price(trie), "block int, kind int, key bigint, value bigint, keys binary, values binary")
     return texts.groupBy("block").cogroup(price.unionByName(word).groupBy("block")).applyInArrow(_sum(tokens, kinds, ends), SCHEMA)
