@@ -175,6 +175,53 @@ def test_decontam(spark):
     assert got == {0: [7], 1: [7], 2: [], 3: [], 4: []}
 
 
+def full_alignment(a, b):
+    h = [0] * (len(b) + 1)
+    best = 0
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(max(0, h[j] + (2 if x == y else -1), h[j + 1] - 1, new[j] - 1))
+        h, best = new, max(best, *new)
+    return best
+
+
+def test_decontam_against_plain_python(spark):
+    """Copies with every fifth word or so edited; items below a seed, unspaced scripts, second passages, a very long text."""
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(400)]
+    items = [[rng.choice(vocabulary) for _ in range(rng.randrange(8, 30))] for _ in range(30)]
+    noise = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+
+    def edit(words):
+        return [y for x in words for y in rng.choices([[x], [rng.choice(vocabulary)], [], [x, rng.choice(vocabulary)]], [80, 10, 5, 5])[0]]
+
+    texts = [noise(40) + edit(item) + noise(30) for item in items for _ in range(3)] + [noise(60) for _ in range(30)]
+    texts.append(noise(100_000) + items[0] + noise(100_000) + items[0] + noise(10))
+    d = spark.createDataFrame([(i, " ".join(t), 1, "x") for i, t in enumerate(texts)], "doc_id long, text string, item_id long, score string")
+    b = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.x.item_id): r.x.score for r in d.filter("doc_id < 120").select("doc_id", F.explode(decontam.found(d, b)).alias("x")).collect()}
+    want = {(i, k): s for i, t in enumerate(texts[:120]) for k, item in enumerate(items) if (s := full_alignment(item, t) / (2 * len(item))) >= decontam.CONTAMINATED}
+    assert set(got) <= set(want) and all(got[k] <= want[k] for k in got)
+    assert len(want) >= 85 and len(got) >= 0.97 * len(want)
+    last = d.filter("doc_id = 120").select(F.explode(decontam.found(d, b)).alias("x")).filter("x.item_id = 0").collect()
+    assert [(r.x.score, " ".join(texts[120]).encode()[r.x.start : r.x.end].decode()) for r in last] == [(1.0, " ".join(items[0]))] * 2
+
+
+def test_decontam_of_short_and_unspaced_items(spark):
+    rows = [(0, "We saw a Blue whale, twice."), (1, "blue and whale"), (2, "昨天有人问：长江的长度是多少公里？没有人回答。"), (3, "yes"), (4, "ราคาเท่าไรครับวันนี้")]
+    rows += [(i, "they said yes to it") for i in range(5, 30)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    b = spark.createDataFrame([(0, "blue whale"), (1, "长江的长度是多少公里"), (2, "yes"), (3, "ราคาเท่าไร"), (3, "ราคาเท่าไร"), (4, None)], "item_id long, text string")
+    got = d.select("doc_id", F.explode(decontam.found(d, b)).alias("x")).collect()
+    assert sorted((r.doc_id, r.x.item_id) for r in got) == [(0, 0), (2, 1), (3, 2), (4, 3), (4, 3)]
+    assert all(r.x.score == 1 for r in got)
+    text = dict(rows)
+    assert {text[r.doc_id].encode()[r.x.start : r.x.end].decode() for r in got} == {"Blue whale", "长江的长度是多少公里", "yes", "ราคาเท่าไร"}
+    assert d.filter("doc_id < 0").select(F.explode(decontam.found(d.filter("doc_id < 0"), b))).count() == 0
+    assert d.select(F.explode(decontam.found(d, b.filter("item_id > 9")))).count() == 0
+
+
 def test_alignment():
     def slow(a, b):
         h = np.zeros((len(a) + 1, len(b) + 1), int)

@@ -1,12 +1,18 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
 
-Words are runs of letters and digits, A-Z as a-z. Every SEED-word gram of a test item is counted over all documents;
+Words are runs of letters and digits, A-Z as a-z; each character of a script written without spaces (Chinese, kana, Hangul,
+Thai, Lao) is a word. Every SEED-word gram of a test item is counted over all documents;
 an item keeps its rare ones. A document that holds a kept seed is aligned with the item around the seeds: +2 for equal
 words, -1 for a differing, missing or added word. The score is the alignment's over that of an exact copy.
 
-The test items are worked through in blocks of BLOCK bytes, each small enough to broadcast, against all documents. Null
-and empty texts match nothing, nor do items without words; an item of fewer words than a seed matches only a text of just
-these words. Repeated documents and items each give rows of their own. Whole texts are read.
+An item of fewer words than a seed is a seed as a whole, found wherever its words follow each other. If that is in more
+documents than a rare seed may be (a plain "yes"), it is no evidence and matches only a text of just these words.
+
+Each passage of an item gives a match; of overlapping ones the best stays, and passages so near that their diagonals differ
+by less than a third of the item may count as one. The test items are worked through in blocks of BLOCK bytes, each small
+enough to broadcast, against all documents. Null and empty texts match nothing, nor do items without words. Repeated
+documents and items each give rows of their own. Whole texts are read, however long, in slices. Only the named columns are
+read; all others of docs may have any name.
 """
 
 from __future__ import annotations
@@ -28,6 +34,9 @@ SEED, BLOCK, CONTAMINATED = 3, 4 << 20, 0.45
 RARE, RARE_COUNT, TIMES, LEAST = 1e-3, 10, 4, 8
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+#: First bytes, in UTF-8, of U+3000 to U+DFFF and of all above U+FFFF: their characters are words of their own.
+_ALONE = np.zeros(256, bool)
+_ALONE[[*range(0xE3, 0xEE), *range(0xF0, 0xF5)]] = True
 
 
 @dataclass
@@ -36,6 +45,8 @@ class Block:
     words: list[np.ndarray]
     seeds: np.ndarray  # distinct, sorted
     where: list[list[tuple[int, int]]] = field(default_factory=list)  # by seed: (item, position)
+    sizes: tuple[int, ...] = ()  # words in its seeds
+    common: frozenset[int] = frozenset()  # items that match only a text of just their words
     table: np.ndarray | None = None
 
     def find(self, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -51,8 +62,33 @@ class Block:
 
 
 def tokens(data: np.ndarray, offs: np.ndarray):
-    starts, ends, first = T.spans(_WORD[data], offs)
-    return T.hashes(data, starts, ends), starts, ends, first
+    """(hashes, starts, ends, first word of each text and the total) of the words."""
+    lead = _ALONE[data]
+    thai = np.flatnonzero(data[:-1] == 0xE0)
+    lead[thai[(data[thai + 1] >= 0xB8) & (data[thai + 1] <= 0xBB)]] = True
+    at, edges = np.flatnonzero(lead), offs
+    if len(at):
+        edges = np.concatenate((offs, at, np.minimum(at + 3 + (data[at] >= 0xF0), len(data))))
+    starts, ends, _ = T.spans(_WORD[data], edges)
+    return T.hashes(data, starts, ends), starts, ends, np.searchsorted(starts, offs)
+
+
+def grams(h: np.ndarray, first: np.ndarray, sizes: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, text, first word in it) of the grams of each of these sizes."""
+    counts = np.diff(first)
+    doc = np.repeat(np.arange(len(counts)), counts)
+    place = np.arange(len(h)) - first[:-1][doc]
+    parts = [(np.zeros(0, np.uint64), doc[:0], place[:0])]
+    for n in sizes:
+        if len(h) < n:
+            continue
+        m = len(h) - n + 1
+        acc = np.full(m, n, np.uint64)
+        for k in range(n):
+            acc = acc * np.uint64(0xD6E8FEB86659FD93) + h[k : m + k]
+        ok = doc[:m] == doc[n - 1 :]
+        parts.append((T.mix(acc[ok]), doc[:m][ok], place[:m][ok]))
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
 def blocks(bench: DataFrame, key: str = "item_id", text: str = "text", size: int = BLOCK) -> Iterator[Block]:
@@ -72,15 +108,17 @@ def _block(rows: list[tuple]) -> Block:
     data, offs = T.raw(pa.array([t for _, t in rows], pa.string()))
     h, _, _, first = tokens(data, offs)
     words = [h[first[i] : first[i + 1]] for i in range(len(rows))]
-    g, owner = T.grams(h, first, SEED)
-    order = np.argsort(owner, kind="stable")  # short items come last
-    g, owner = g[order], owner[order]
-    place = np.arange(len(g)) - np.searchsorted(owner, owner)
+    size = np.minimum(np.diff(first), SEED)  # of an item's seeds
+    sizes = tuple(n for n in range(1, SEED + 1) if (size == n).any())
+    g, owner, place = grams(h, first, sizes)
+    long = np.repeat(sizes, [int(np.maximum(np.diff(first) - n + 1, 0).sum()) for n in sizes]).astype(int)  # words of each gram
+    own = long == size[owner]
+    g, owner, place = g[own], owner[own], place[own]
     seeds, inverse = np.unique(g, return_inverse=True)
     where: list[list[tuple[int, int]]] = [[] for _ in seeds]
     for s, o, p in zip(inverse.tolist(), owner.tolist(), place.tolist(), strict=True):
         where[s].append((o, p))
-    return Block([k for k, _ in rows], words, seeds, where)
+    return Block([k for k, _ in rows], words, seeds, where, sizes)
 
 
 def rare(docs: DataFrame, block: Block, text: str = "text") -> Block:
@@ -95,7 +133,7 @@ def rare(docs: DataFrame, block: Block, text: str = "text") -> Block:
             total += len(offs) - 1
             for i, j in T.slices(offs):
                 h, _, _, first = tokens(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
-                g, owner = T.grams(h, first, SEED)
+                g, owner, _ = grams(h, first, b.sizes)
                 at, k = b.find(g)
                 k, _ = T.distinct(k.astype(np.uint64), owner[at])
                 n += np.bincount(k.astype(np.int64), minlength=len(n))
@@ -110,14 +148,18 @@ def rare(docs: DataFrame, block: Block, text: str = "text") -> Block:
         for item, _ in places:
             mine[item].append(s)
     kept: set[tuple[int, int]] = set()
+    common = set()
+    rarely = max(RARE * n[-1], RARE_COUNT)
     for item, seeds in enumerate(mine):
         counts = n[seeds]
         if len(seeds):
-            most = max(RARE * n[-1], RARE_COUNT, TIMES * np.quantile(counts, 0.25))
+            most = max(rarely, TIMES * np.quantile(counts, 0.25))
             kept |= {(item, s) for s, c in zip(seeds, counts, strict=True) if c <= most} | {(item, seeds[k]) for k in np.argsort(counts, kind="stable")[:LEAST]}
+        if len(block.words[item]) < SEED and counts.max(initial=0) > rarely:
+            common.add(item)
     where = [[(i, p) for i, p in places if (i, s) in kept] for s, places in enumerate(block.where)]
     at = [s for s, places in enumerate(where) if places]
-    return Block(block.ids, block.words, block.seeds[at], [where[s] for s in at])
+    return Block(block.ids, block.words, block.seeds[at], [where[s] for s in at], block.sizes, frozenset(common))
 
 
 def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int]:
@@ -135,28 +177,26 @@ def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int]:
 
 
 def matches(block: Block, col: pa.Array, least: float) -> list[list[dict]]:
-    """For each text its matches {item, score, start, end}; start and end are UTF-8 bytes. One best match an item."""
+    """For each text its matches {item, score, start, end}; start and end are UTF-8 bytes."""
     data, offs = T.raw(col)
     out: list[list[dict]] = [[] for _ in range(len(offs) - 1)]
     for i, j in T.slices(offs):
         local = offs[i : j + 1] - offs[i]
         h, starts, ends, first = tokens(data[offs[i] : offs[j]], local)
-        g, owner = T.grams(h, first, SEED)
+        g, owner, place = grams(h, first, block.sizes)
         at, seed = block.find(g)
         if not len(at):
             continue
         counts = np.diff(first)
-        base = np.searchsorted(owner[: int(np.maximum(counts - SEED + 1, 0).sum())], np.arange(j - i))  # first long gram of each text
         by: dict[tuple[int, int], list[int]] = {}
-        for a, s in zip(at.tolist(), seed.tolist(), strict=True):
-            d = int(owner[a])
-            place = a - int(base[d]) if counts[d] >= SEED else 0
+        for d, at_, s in zip(owner[at].tolist(), place[at].tolist(), seed.tolist(), strict=True):
             for item, p in block.where[s]:
-                by.setdefault((d, item), []).append(place - p)
+                if item not in block.common or counts[d] == len(block.words[item]):
+                    by.setdefault((d, item), []).append(at_ - p)
         for (d, item), diagonals in by.items():
             words, size = block.words[item], len(block.words[item])
             doc, slack = h[first[d] : first[d + 1]], len(block.words[item]) // 3 + 4
-            best = (0, 0, 0)
+            passages = []
             diagonals.sort()
             k = 0
             while k < len(diagonals):
@@ -165,15 +205,19 @@ def matches(block: Block, col: pa.Array, least: float) -> list[list[dict]]:
                     last += 1
                 lo, hi = max(0, diagonals[k] - slack), min(len(doc), diagonals[last] + size + slack)
                 for at_ in range(lo, hi, max(1, 8 * size + 64)):  # a long run of near diagonals is aligned in overlapping parts
-                    part = doc[at_ : min(hi, at_ + 10 * size + 64)]
+                    part = doc[at_ : min(hi, at_ + 11 * size + 64)]  # a passage spans less than 3 times the item
                     score, end = align(words, part)
-                    if score > best[0]:
-                        best = (score, at_, at_ + end)
+                    if score >= least * 2 * size:
+                        back, length = align(words[::-1], part[:end][::-1])
+                        passages.append((-score, at_ + end - length, at_ + end))
                 k = last + 1
-            if best[0] >= least * 2 * size:
-                back, length = align(words[::-1], doc[best[1] : best[2]][::-1])
-                a, b = first[d] + best[2] - length, first[d] + best[2] - 1
-                out[i + d].append({"item": item, "score": best[0] / (2 * size), "start": int(starts[a] - local[d]), "end": int(ends[b] - local[d])})
+            taken: list[tuple[int, int, int]] = []
+            for p in sorted(set(passages)):
+                if all(p[2] <= q[1] or q[2] <= p[1] for q in taken):
+                    taken.append(p)
+            for score, a, b in sorted(taken, key=lambda p: p[1]):
+                a, b = first[d] + a, first[d] + b - 1
+                out[i + d].append({"item": item, "score": -score / (2 * size), "start": int(starts[a] - local[d]), "end": int(ends[b] - local[d])})
     return out
 
 
