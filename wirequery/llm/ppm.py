@@ -24,7 +24,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import text as T
@@ -326,10 +326,11 @@ def score(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "t
     low = counts.filter("kind = 2").groupBy("key").agg(F.sum("n").alias("n")).toPandas()
     trie = spark.sparkContext.broadcast(Trie(low["key"].to_numpy(np.int64).view(np.uint64), low["n"].to_numpy(np.int64)))
     ends = counts.filter("kind = 3").agg(F.sum("n")).first()[0] or 0
-    by_word = counts.filter("kind = 1").groupBy("key").agg(F.sum("n").alias("c"))
-    words, kinds = by_word.agg(F.sum("c"), F.count(F.when(F.col("c") > 0, 1))).first()
-    tokens, kinds = (words or 0) + ends, (kinds or 0) + (ends > 0)
-    word = counts.filter("kind = 1").join(by_word, "key").select("block", "kind", "key", F.col("c").alias("value"), *[F.lit(None).cast("binary").alias(c) for c in ("keys", "values")])
+    words = counts.filter("kind = 1")
+    tokens = (words.agg(F.sum("n")).first()[0] or 0) + ends
+    kinds = words.filter("n > 0").select("key").distinct().count() + (ends > 0)
+    # One exchange: a word has one row a block, and the rows of a word get its sum.
+    word = words.select("block", "kind", "key", F.sum("n").over(Window.partitionBy("key")).alias("value"), *[F.lit(None).cast("binary").alias(c) for c in ("keys", "values")])
     pair = counts.filter("kind = 0").select("block", "key", "n")
     pair = pair.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1), F.shiftright("key", int(_GROUP))).sortWithinPartitions("key")
     price = pair.mapInArrow(_price(trie), "block int, kind int, key bigint, value bigint, keys binary, values binary")
