@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import math
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -365,3 +366,58 @@ def test_salvage():
     data = b"noise" + a + b[:-6]
     assert sum(r["length"] for r in warc.salvage(data)) == len(data)
     assert list(warc.salvage(b"")) == []
+
+
+def record(name, body, digest=None):
+    digest = digest if digest is not None else "sha1:" + warc.base64.b32encode(hashlib.sha1(body).digest()).decode()
+    head = f"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <{name}>\r\n" + (f"WARC-Payload-Digest: {digest}\r\n" if digest else "") + f"Content-Length: {len(body)}\r\n\r\n"
+    return head.encode() + body + b"\r\n\r\n"
+
+
+def names(data):
+    return [r.get("record_id", "gap") for r in warc.salvage(data)]
+
+
+def test_salvage_inside_a_gzip_member():
+    rng = random.Random(5)
+    one, two, three = (record(k, bytes(rng.randrange(256) for _ in range(40_000))) for k in "abc")
+    bad = two.replace(two[-40:-30], b"0123456789")
+    member = gzip.compress(one + bad + three)
+    rows = list(warc.salvage(member + gzip.compress(two)))
+    assert [r.get("record_id", "gap") for r in rows] == ["<a>", "gap", "<c>", "<b>"]
+    assert {(r["offset"], r["length"]) for r in rows[:3]} == {(0, len(member))}
+    assert [(r["inner_offset"], r["inner_length"]) for r in rows[:3]] == [(0, len(one)), (len(one), len(bad)), (len(one) + len(bad), len(three))]
+    whole = gzip.compress(one + two + three)
+    assert names(whole[: len(whole) * 5 // 6] + gzip.compress(two)) == ["<a>", "<b>", "gap", "<b>"]  # cut off in the third
+    spoilt = whole[:-8] + bytes([whole[-8] ^ 1]) + whole[-7:]
+    assert names(spoilt + gzip.compress(three)) == ["<a>", "<b>", "<c>", "gap", "<c>"]  # the checksum is wrong, the digests aren't
+    bare = gzip.compress(record("n", b"no digest", ""))
+    assert names(bare) == ["<n>"] and names(bare[:-8] + b"12345678") == ["gap"]
+    assert names(gzip.compress(b"")) == [] and names(gzip.compress(b"no record")) == ["gap"]
+
+
+def test_digests_of_several_algorithms():
+    body = b"some payload"
+    b32 = lambda d: warc.base64.b32encode(d).decode()
+    right = ["sha256:" + hashlib.sha256(body).hexdigest(), "sha-256:" + b32(hashlib.sha256(body).digest()), "md5:" + hashlib.md5(body).hexdigest().upper(), "SHA1:" + b32(hashlib.sha1(body).digest()).lower(), "blake3:00", ""]
+    assert all(names(record("r", body, d)) == ["<r>"] for d in right)
+    assert all(names(record("r", body + b".", d)) == ["gap"] for d in right[:4])
+
+
+def test_many_members_take_time_in_proportion():
+    data = b"".join(gzip.compress(record(str(k), b"x" * 900), 1) for k in range(16_000))
+    start = time.process_time()
+    assert len(names(data)) == 16_000
+    assert time.process_time() - start < 4
+
+
+def test_damaged_files_through_read(spark, tmp_path):
+    parts = [record(str(k), b"y" * 50) for k in range(4)]
+    (tmp_path / "plain.warc").write_bytes(parts[0] + parts[1].replace(b"yy", b"yz", 1) + b"junk" + parts[2])
+    whole = gzip.compress(parts[3])
+    (tmp_path / "cut.warc.gz").write_bytes(whole + gzip.compress(parts[0])[:-20] + whole)
+    (tmp_path / "empty.warc").write_bytes(b"")
+    got = {}
+    for r in warc.read(spark, str(tmp_path)).orderBy("file", "offset").collect():
+        got.setdefault(r.file.rsplit("/", 1)[1], []).append(r.record_id or r.type)
+    assert got == {"plain.warc": ["<0>", "gap", "<2>"], "cut.warc.gz": ["<3>", "gap", "<3>"]}

@@ -106,8 +106,8 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "warc")
     warc.write(table(spark, sf_dir, "pages"), path, min_bytes=0)
     number = lambda c: F.regexp_extract(c, warc.URN + r"(-?\d+)>", 1).try_cast("long")
-    rows = warc.read(spark, path).filter(F.col("type") != "gap")
-    return rows.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), number("refers_to").alias("refers_to"))
+    kind = F.when(F.col("type") == "gap", F.raise_error(F.concat(F.lit("gap in a fresh archive: "), "reason"))).otherwise(F.col("type"))
+    return warc.read(spark, path).select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", kind.alias("record_type"), number("refers_to").alias("refers_to"))
 
 
 OP7_SQL = """

@@ -9,7 +9,11 @@ has the same payload.
 
 Reader: records are parsed by version line, header block, Content-Length, closing blank lines and payload digest, in
 plain files and in gzip members. After a failed check it searches for the next valid member or version line, goes on
-there, and reports the bytes between as a gap. Each file is held in one task; the writer keeps files to FILE bytes on average.
+there, and reports the bytes between as a gap. The same search runs inside a gzip member, over what inflates of it: records
+before and after a damaged one are kept, and so are those before the place where a member is cut off. Of a member that fails
+its own check only records whose payload digest is right are kept. Rows of one member share its offset and length and are told
+apart by their place in the inflated bytes; a damaged member is reported as a gap too. Digests of unknown algorithms aren't
+checked. Each file is held in one task, and one inflated member; the writer keeps files to FILE bytes on average.
 """
 
 from __future__ import annotations
@@ -18,7 +22,7 @@ import base64
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,12 +71,30 @@ _VERSION = re.compile(rb"WARC/[01]\.\d+\r?\n")
 _START = re.compile(rb"WARC/[01]\.\d+\r?\n|\x1f\x8b\x08")
 
 
+_GZIP = b"\x1f\x8b\x08"
+#: Bytes inflated at a time: what follows a member is copied for at most so many.
+PIECE = 1 << 14
+ALGORITHMS = ("md5", "sha1", "sha256", "sha384", "sha512")
+
+
 class Bad(Exception):
-    """A failed check; `end` is where the record would have ended, if known."""
+    """A failed check; `end` is where the record would have ended, if known; `rows` what is left of a damaged member."""
 
-    def __init__(self, reason: str, end: int | None = None):
+    def __init__(self, reason: str, end: int | None = None, rows: list[dict] | None = None):
         super().__init__(reason)
-        self.end = end
+        self.end, self.rows = end, rows or []
+
+
+def is_digest(given: str, payload: bytes) -> bool | None:
+    """Whether a digest in base32 or hex is the payload's; None if there is none or its algorithm isn't known."""
+    name, _, value = given.rpartition(":")
+    name = (name or "sha1").lower().replace("-", "")
+    if not value or name not in ALGORITHMS:
+        return None
+    digest = hashlib.new(name, payload).digest()
+    if len(value) == 2 * len(digest):
+        return value.lower() == digest.hex()
+    return value.upper().rstrip("=") == base64.b32encode(digest).decode().rstrip("=")
 
 
 def parse(data, pos: int) -> tuple[dict, int]:
@@ -102,68 +124,92 @@ def parse(data, pos: int) -> tuple[dict, int]:
     if "application/http" in fields.get("content-type", ""):
         cut_ = block.find(b"\r\n\r\n")
         payload = block[cut_ + 4 :] if cut_ >= 0 else b""
-    given = fields.get("warc-payload-digest", "").removeprefix("sha1:")
-    digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
-    if kind != "revisit" and given and given != digest:
+    given = fields.get("warc-payload-digest", "")
+    right = is_digest(given, payload) if kind != "revisit" else None
+    if right is False:
         raise Bad("payload digest differs", end + 4)
+    given, digest = given.removeprefix("sha1:"), base64.b32encode(hashlib.sha1(payload).digest()).decode()
     length = int(fields["warc-x-payload-length"]) if kind == "revisit" and fields.get("warc-x-payload-length", "").isdigit() else len(payload)
     return {
         "type": kind, "record_id": fields.get("warc-record-id"), "uri": fields.get("warc-target-uri"), "date": fields.get("warc-date"),
-        "payload_digest": given or None if kind == "revisit" else digest, "payload_bytes": length, "refers_to": fields.get("warc-refers-to"), "payload": payload,
+        "payload_digest": given or None if kind == "revisit" else digest, "payload_bytes": length, "refers_to": fields.get("warc-refers-to"), "payload": payload, "checked": bool(right),
     }, end + 4
 
 
-def _at(data: bytes, pos: int) -> tuple[list[dict], int]:
-    """The records of the gzip member or the plain record at pos; raises Bad."""
-    if data[pos : pos + 3] != b"\x1f\x8b\x08":
-        record, end = parse(data, pos)
-        return [record], end
-    z = zlib.decompressobj(31)
+def inflate(data: bytes, pos: int) -> tuple[bytes, int, str | None]:
+    """(bytes, end, reason) of the gzip member at pos; the reason is None if it is whole, else the bytes are those before
+    the damage."""
+    view, parts, z, at = memoryview(data), [], zlib.decompressobj(31), pos
     try:
-        inner = z.decompress(data[pos:])
-    except zlib.error as e:
-        raise Bad(f"gzip: {e}") from e
-    if not z.eof:
-        raise Bad("truncated gzip member")
-    end, out, at = len(data) - len(z.unused_data), [], 0
-    while at < len(inner):
+        while not z.eof and at < len(data):
+            parts.append(z.decompress(view[at : at + PIECE]))
+            at = min(at + PIECE, len(data))
+    except zlib.error as e:  # the failed piece once more, as far as it goes
+        z = zlib.decompressobj(31)
+        parts = [z.decompress(view[pos:at])]
         try:
-            record, at = parse(inner, at)
-        except Bad as e:
-            raise Bad(str(e), end) from e
-        out.append(record)
-    return out, end
+            for k in range(at, min(at + PIECE, len(data))):
+                parts.append(z.decompress(view[k : k + 1]))
+        except zlib.error:
+            pass
+        return b"".join(parts), at, f"gzip: {e}"
+    return b"".join(parts), at - len(z.unused_data), None if z.eof else "truncated gzip member"
 
 
-def salvage(data: bytes) -> Iterator[dict]:
-    """Records and gaps of an archive, in order; every byte belongs to one of them."""
+def _record(data: bytes, pos: int) -> tuple[list[dict], int]:
+    record, end = parse(data, pos)
+    return [record], end
+
+
+def _at(data: bytes, pos: int) -> tuple[list[dict], int]:
+    """The rows of the gzip member or the plain record at pos; raises Bad."""
+    if data[pos : pos + 3] != _GZIP:
+        return _record(data, pos)
+    inner, end, reason = inflate(data, pos)
+    rows = [r | {"inner_offset": a, "inner_length": b - a} for a, b, found in _walk(inner, _record, _VERSION) for r in found]
+    records = [r for r in rows if r["type"] != "gap"]
+    if reason:
+        raise Bad(reason, None, [r for r in records if r["checked"] or reason.startswith("truncated")])
+    if rows and not records:
+        raise Bad(rows[0]["reason"], end)
+    return rows, end
+
+
+def _walk(data: bytes, at: Callable[[bytes, int], tuple[list[dict], int]], start: re.Pattern) -> Iterator[tuple[int, int, list[dict]]]:
+    """(offset, end, rows) of the parts of data, in order and without holes; rows of type gap where a check fails."""
     pos = 0
     while pos < len(data):
         try:
-            found, end = _at(data, pos)
-            for r in found:
-                yield r | {"offset": pos, "length": end - pos}
+            found, end = at(data, pos)
+            yield pos, end, found
             pos = end
             continue
         except Bad as e:
-            reason, tail = str(e), e.end
+            reason, tail, saved = str(e), e.end, e.rows
         nxt = len(data)
-        if tail is not None and (tail == len(data) or _START.match(data, tail)):
+        if tail is not None and (tail == len(data) or start.match(data, tail)):
             nxt = tail  # the record is bad, its frame is not
         else:
-            for m in _START.finditer(data, pos + 1):
+            for m in start.finditer(data, pos + 1):
                 try:
-                    _at(data, m.start())
+                    at(data, m.start())
                 except Bad as e:
-                    if e.end is None:  # not even a frame
+                    if e.end is None and not e.rows:  # not even a frame
                         continue
                 nxt = m.start()
                 break
-        yield {"type": "gap", "offset": pos, "length": nxt - pos, "reason": reason}
+        yield pos, nxt, [*saved, {"type": "gap", "reason": reason}]
         pos = nxt
 
 
-FIELDS = {"file": "string", "offset": "bigint", "length": "bigint", "type": "string", "reason": "string", "record_id": "string", "uri": "string", "date": "string", "payload_digest": "string", "payload_bytes": "bigint", "refers_to": "string"}
+def salvage(data: bytes) -> Iterator[dict]:
+    """Records and gaps of an archive, in order; every byte belongs to a record, a member or a gap."""
+    for pos, end, rows in _walk(data, _at, _START):
+        for r in rows:
+            yield r | {"offset": pos, "length": end - pos}
+
+
+FIELDS = {"file": "string", "offset": "bigint", "length": "bigint", "inner_offset": "bigint", "inner_length": "bigint", "type": "string", "reason": "string", "record_id": "string", "uri": "string", "date": "string", "payload_digest": "string", "payload_bytes": "bigint", "refers_to": "string"}
 
 
 def read(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
