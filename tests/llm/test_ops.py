@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import math
 import random
+import re
 import time
 
 import numpy as np
@@ -421,3 +422,162 @@ def test_damaged_files_through_read(spark, tmp_path):
     for r in warc.read(spark, str(tmp_path)).orderBy("file", "offset").collect():
         got.setdefault(r.file.rsplit("/", 1)[1], []).append(r.record_id or r.type)
     assert got == {"plain.warc": ["<0>", "gap", "<2>"], "cut.warc.gz": ["<3>", "gap", "<3>"]}
+
+
+def plain_statistics(text):
+    b = (text or "").encode()
+    fold = lambda x: bytes(c + 32 if 65 <= c <= 90 else c for c in x)
+    words = [x for x in re.split(rb"[\x20\x09-\x0D]+", b) if x]
+    count = lambda test: sum(1 for c in b if test(c))
+    letters = count(lambda c: 65 <= c <= 90 or 97 <= c <= 122 or c >= 128)
+    lines = [fold(x) for x in b.split(b"\n") if x]
+    pairs = list(zip([*map(fold, words)], [*map(fold, words)][1:])) or ([(words[0],)] if words else [])
+    w, size, folded = max(len(words), 1), max(len(b), 1), [fold(x) for x in words]
+    return {
+        "log_words": math.log1p(len(words)), "word_length": sum(map(len, words)) / w, "upper": count(lambda c: 65 <= c <= 90) / max(letters, 1), "symbols": count(lambda c: chr(c) in "#$%&*+/<=>@[\\]^_`{|}~") / w,
+        "bangs": count(lambda c: chr(c) in "!?") / w, "digits": count(lambda c: 48 <= c <= 57) / size, "non_ascii": count(lambda c: c >= 128) / size, "stops": count(lambda c: chr(c) in ".,;:") / w,
+        "distinct_words": len({*folded}) / w, "repeats": sum(x == y for x, y in zip(folded, folded[1:])) / w, "distinct_pairs": len({*pairs}) / max(len(pairs), 1), "line_words": len(words) / max(len(lines), 1),
+        "distinct_lines": len({*lines}) / max(len(lines), 1), "letters": letters / size, "longest_word": math.log1p(max(map(len, words), default=0)),
+    }
+
+
+def test_quality_against_plain_python(spark):
+    """Statistics and the compiled column expression, on nulls, empty, repeated and very long texts; columns with clashing names."""
+    rng = random.Random(8)
+    line = lambda: " ".join(rng.choice([w, w.upper(), w + rng.choice(".,;:!?#"), str(rng.randrange(99)), "é" + w]) for w in rng.choices(WORDS, k=rng.randrange(1, 9)))
+    texts = [None, "", " \n\t", "one", "\n".join(line() for _ in range(20_000))] + ["\n".join(line() for _ in range(rng.randrange(1, 5))) for _ in range(150)]
+    texts += texts[10:20]
+    d = spark.createDataFrame([(i, t, 1, "x") for i, t in enumerate(texts)], "doc_id long, text string, s long, stats string")
+    lab = spark.createDataFrame([(i, int(len(t or "") % 3 > 0)) for i, t in enumerate(texts)], "doc_id long, quality int")
+    m = quality.fit(d, lab)
+    assert m.rules
+    for r in d.select("doc_id", quality.stats_of(F.col("text")).alias("v")).select("doc_id", "v", m.score(F.col("v")).alias("y")).collect():
+        want = plain_statistics(texts[r.doc_id])
+        assert set(want) == set(quality.STATS) and all(math.isclose(r.v[k], x, abs_tol=1e-12) for k, x in want.items()), texts[r.doc_id]
+        z = m.bias + sum(w for rule, w in zip(m.rules, m.weights) if all((r.v[quality.STATS[k]] <= t) == at_most for k, at_most, t in rule))
+        assert math.isclose(r.y, 1 / (1 + math.exp(-z)))
+
+
+def test_quality_learns_from_few_labels(spark):
+    d = spark.createDataFrame([(i, "!!! ??? # # #" if i % 2 else "a calm line of plain words") for i in range(14)], "doc_id long, text string")
+    for n in (6, 12):
+        m = quality.fit(d, spark.createDataFrame([(i, 1 - i % 2) for i in range(n)], "doc_id long, quality int"))
+        got = {r.doc_id: r.y for r in d.select("doc_id", m.score(quality.stats_of(F.col("text"))).alias("y")).collect()}
+        assert got[13] < 0.5 < got[12]
+
+
+def plain_langid(rows, texts):
+    """(language, its share) of each text by the rule in plain Python, from rows (text, language)."""
+
+    def trigrams(t):
+        b = [c | 32 if 65 <= c <= 90 or 97 <= c <= 122 else c if c >= 128 else 32 for c in (t or "").encode()]
+        for x, y, z in zip(b, b[1:], b[2:]):
+            if y != 32 and (x != 32 or z != 32):
+                h = (x * 0x9E3779B1 + y * 0x85EBCA6B + z * 0xC2B2AE35) % 2**32
+                yield ((h ^ h >> 15) * 0x2C1B3C6D % 2**32) >> 16
+
+    count = {}
+    for t, lang in rows:
+        if t is not None and lang is not None:
+            for g in trigrams(t):
+                at = count.setdefault(lang, {})
+                at[g] = at.get(g, 0) + 1
+    langs = sorted(count)
+    total = {x: sum(c.values()) + 0.05 * langid.BUCKETS for x, c in count.items()}
+    prob = lambda lang, g: (count[lang].get(g, 0) + 0.05) / total[lang]
+    code, known = langid.codewords(len(langs)), {g for c in count.values() for g in c}
+    sides = [[[x for x, c in zip(langs, column) if c * s > 0] for s in (1, -1)] for column in code.T]
+
+    def sides_of(b, g):
+        return [sum(prob(x, g) for x in side) / len(side) for side in sides[b]]
+
+    def weight(b, g):
+        p, n = sides_of(b, g)
+        return math.log(p / n)
+
+    trust = []
+    for b in range(len(sides)):
+        each = lambda g: (lambda p, n: (p - n) * math.log(p / n))(*sides_of(b, g))  # noqa: B023, E731
+        trust.append(math.sqrt(sum(map(each, known)) + (langid.BUCKETS - len(known)) * each(-1)))
+    trust = [x / sum(trust) * min(len(trust), 8) for x in trust]
+    for t in texts:
+        g = list(trigrams(t))
+        margin = [sum(weight(b, x) for x in g) / max(len(g), 1) * min(len(g), langid.CERTAIN) for b in range(len(sides))]
+        loss = [sum(u * math.log1p(math.exp(-m * c)) for u, m, c in zip(trust, margin, word)) for word in code]
+        share = [math.exp(min(loss) - x) for x in loss]
+        best = max(range(len(langs)), key=lambda i: share[i])
+        yield langs[best], share[best] / sum(share)
+
+
+@pytest.mark.parametrize("n", [2, 4, 7])
+def test_language_against_plain_python(spark, n):
+    rng = random.Random(n)
+    alphabets = [rng.choices("abcdefghijklmnopqrstuvwxyzäéøßж漢", k=9) for _ in range(n)]
+    say = lambda k, m: " ".join("".join(rng.choices(alphabets[k], k=rng.randrange(1, 7))) for _ in range(m))
+    rows = [(say(i % n, rng.randrange(1, 30)), f"l{i % n}" if i % 9 else None) for i in range(60)] + [(None, "l0"), ("", "l1"), ("A b. c", None), (say(0, 30_000), None), ("12 34", None)]
+    rows += rows[:5]
+    d = spark.createDataFrame([(i, *r, 0.5) for i, r in enumerate(rows)], "doc_id long, text string, lang string, score double")
+    m = langid.fit(d)
+    got = {r.doc_id: r.x for r in d.select("doc_id", langid.identify(m, spark, F.col("text")).alias("x")).collect()}
+    for i, (lang, share) in enumerate(plain_langid(rows, [t for t, _ in rows])):
+        if any(c.isalpha() for c in rows[i][0] or ""):
+            assert math.isclose(got[i].score, share, rel_tol=1e-4) and (got[i].lang_pred == lang or share < 0.51), rows[i]
+        else:
+            assert got[i].lang_pred == "und" and got[i].score == 0
+
+
+def test_fingerprints_of_equal_texts_and_of_the_next(spark, docs):
+    rows = sorted(((r.doc_id, r.text or "") for r in docs.collect()), key=lambda x: (x[0] is None, -(x[0] or 0)))
+    got = {r.doc_id: r for r in fingerprint.neighbours(docs.repartition(5)).collect()}
+    prints = {}
+    for k, (i, t) in enumerate(rows):
+        a, b = (set(fingerprint.digests([x])[0].tolist()) for x in (t, rows[(k + 1) % len(rows)][1]))
+        assert math.isclose(got[i].near_next, len(a & b) / len(a | b) if a or b else 1.0)
+        assert prints.setdefault(t, got[i].fingerprint) == got[i].fingerprint
+    assert len({*prints.values()}) > 0.9 * len(prints)
+
+
+def test_pipeline_against_plain_python(spark, tmp_path):
+    """All five stages: rejected texts, recurring lines, groups of copies, benchmark passages, then the mix by its SQL."""
+    import duckdb
+
+    import corpus_pipeline
+    from wirequery.llm.queries import OP10_SQL
+
+    rng = random.Random(12)
+    say = lambda n: " ".join(rng.choice(WORDS) + rng.choice(WORDS) for _ in range(n))
+    base = [say(40) for _ in range(40)]
+    item, common = say(20), "this very line stands in many texts of the corpus"
+    texts = base + base[:6] + [t + " and one more" for t in base[6:12]] + [f"{say(30)} {item} {say(10)}" for _ in range(3)] + [f"{say(30)}\n{common}\n{say(5)}" for _ in range(7)]
+    texts += [None, "", "12 34 !?"]
+    rows = [(i, t, "en", f"s{i % 3}" if i % 7 else None, len(t or "")) for i, t in enumerate(texts)]
+    kinds = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, kinds).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, item), (2, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    keep = [(i, t) for i, t, *_ in rows if any(c.isalpha() for c in t or "")]
+    drop = linededup_plain(keep)
+    keep = [(i, "\n".join(l for l in t.split("\n") if l not in drop.get(t, ()))) for i, t in keep]
+    assert sum(map(len, drop.values())) == 6
+    each = []
+    for i, t in keep:  # here every group links with its least member
+        if not any(100 * len(shingles(t) & shingles(x)) >= 75 * len(shingles(t) | shingles(x)) for _, x in each):
+            each.append((i, t))
+    assert len(keep) - len(each) == 12
+    clean = [(i, t) for i, t in each if item not in t]
+    assert len(each) - len(clean) == 3
+    of = {r[0]: r for r in rows}
+    documents = spark.createDataFrame([(i, t, "en", of[i][3], len(t)) for i, t in clean], kinds).toPandas()  # noqa: F841
+    with duckdb.connect() as c:
+        c.register("documents", documents)
+        want = sorted(c.sql(f"select doc_id, text, n_chars, mix_rate, mix_copy, mix_order from ({OP10_SQL})").fetchall())
+    got = corpus_pipeline.run(spark, str(tmp_path)).selectExpr("doc_id", "text", "n_chars", "round(mix_rate, 9)", "mix_copy", "mix_order").collect()
+    assert len(want) > 30 and sorted(map(tuple, got)) == want
+
+
+def test_pipeline_of_no_documents(spark, tmp_path):
+    import corpus_pipeline
+
+    kinds = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([], kinds).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, "an item of the test set")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

@@ -4,6 +4,7 @@ Small trees are grown on a bounded sample of labelled rows; each path from a roo
 comparisons; a logistic regression with an L1 penalty keeps a few of them. The fitted ensemble is compiled into one Spark
 column expression over the statistics. Statistics come from whole texts; null and empty texts have zeros throughout, so
 their score is that of the rules that hold for zeros. Without labels the score is 0.5; with one class only, that class's.
+A side of a split has LEAF rows at least, or an eighth of the labelled rows where those are fewer than 8 LEAF.
 """
 
 from __future__ import annotations
@@ -17,8 +18,9 @@ from pyspark.sql import functions as F
 
 from . import text as T
 
-#: Labelled rows that the ensemble is fitted on, those of the least hash of the id; trees, their depth, the L1 penalty.
-SAMPLE, TREES, DEPTH, PENALTY = 20_000, 40, 3, 1e-3
+#: Labelled rows that the ensemble is fitted on, those of the least hash of the id, and of them those drawn for a tree; trees,
+#: their depth, least rows of a side, the L1 penalty.
+SAMPLE, DRAWN, TREES, DEPTH, LEAF, PENALTY = 20_000, 4000, 40, 3, 10, 1e-3
 STATS = ("log_words", "word_length", "upper", "symbols", "bangs", "digits", "non_ascii", "stops", "distinct_words", "repeats", "distinct_pairs", "line_words", "distinct_lines", "letters", "longest_word")
 
 _BYTE = {k: np.zeros(256, np.int64) for k in ("upper", "letter", "symbol", "bang", "digit", "high", "stop")}
@@ -91,16 +93,16 @@ class Ensemble:
         return np.stack([np.logical_and.reduce([x[:, k] <= t if at_most else x[:, k] > t for k, at_most, t in rule]) for rule in self.rules], 1).astype(float)
 
 
-def _paths(x: np.ndarray, y: np.ndarray, rng, path=(), depth=DEPTH) -> list[tuple]:
+def _paths(x: np.ndarray, y: np.ndarray, rng, leaf: int, path=(), depth=DEPTH) -> list[tuple]:
     """The rules of a tree's nodes below its root, splits chosen by Gini gain among a third of the statistics."""
-    if depth == 0 or len(y) < 40 or y.min() == y.max():
+    if depth == 0 or len(y) < 4 * leaf or y.min() == y.max():
         return []
     best = (1e-9,)
     for k in rng.choice(x.shape[1], max(4, x.shape[1] // 3), replace=False):
         for t in np.unique(np.quantile(x[:, k], np.linspace(0.02, 0.98, 25))):
             left = x[:, k] <= t
             n, m = left.sum(), len(y)
-            if 10 <= n <= m - 10:
+            if leaf <= n <= m - leaf:
                 a, b, p = y[left].mean(), y[~left].mean(), y.mean()
                 gain = p * (1 - p) - n / m * a * (1 - a) - (m - n) / m * b * (1 - b)
                 if gain > best[0]:
@@ -111,7 +113,7 @@ def _paths(x: np.ndarray, y: np.ndarray, rng, path=(), depth=DEPTH) -> list[tupl
     out = []
     for side, at_most in ((left, True), (~left, False)):
         rule = (*path, (k, at_most, t))
-        out += [rule, *_paths(x[side], y[side], rng, rule, depth - 1)]
+        out += [rule, *_paths(x[side], y[side], rng, leaf, rule, depth - 1)]
     return out
 
 
@@ -123,10 +125,10 @@ def ensemble(x: np.ndarray, y: np.ndarray, seed: int = 11) -> Ensemble:
     if mean in (0.0, 1.0):
         return Ensemble(bias=6.0 if mean else -6.0)
     rng = np.random.default_rng(seed)
-    rules = {}
+    rules, leaf = {}, min(LEAF, max(1, len(y) // 8))
     for _ in range(TREES):
-        at = rng.integers(0, len(y), min(len(y), 4000))
-        rules |= dict.fromkeys(_paths(x[at], y[at], rng))
+        at = rng.integers(0, len(y), min(len(y), DRAWN))
+        rules |= dict.fromkeys(_paths(x[at], y[at], rng, leaf))
     out = Ensemble(float(np.log(mean / (1 - mean))), list(rules))
     if not rules:
         return out
