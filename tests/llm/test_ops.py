@@ -51,6 +51,71 @@ def test_jaccard_is_exact(docs):
     assert kept.columns == docs.columns and kept.filter("doc_id is null").count() == 1
 
 
+def linked_components(texts, percent):
+    """The least index that is reachable by links, for each text, by comparing all pairs."""
+    held = [shingles(t) for t in texts]
+    root = list(range(len(texts)))
+    for i, a in enumerate(held):
+        for j, b in enumerate(held[:i]):
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
+                x, y = root[i], root[j]
+                root = [min(x, y) if r in (x, y) else r for r in root]
+    return dict(enumerate(root))
+
+
+def watched(monkeypatch):
+    """Rows of the tables that are written from now on, by name."""
+    rows, cut = {}, common.Scope.cut
+
+    def count(self, df, name):
+        out = cut(self, df, name)
+        rows[name] = rows.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(common.Scope, "cut", count)
+    return rows
+
+
+def frame(spark, texts, parts=3):
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(parts)
+
+
+@pytest.mark.parametrize("percent", [60, 75, 90])
+def test_jaccard_near_the_threshold(spark, percent):
+    rng = random.Random(percent)
+    texts = []
+    for n in (6, 9, 20, 40, 70, 150, 258, 300, 530):
+        base = [f"w{rng.randrange(4 * n)}" for _ in range(n + 4)]
+        for k in range(6):  # a run of words replaced, words cut off or added, so that about the share of the threshold stays
+            run = max(0, round(n * rng.uniform(0.3, 1.7) * (1 - percent / 100) / (1 + percent / 100)))
+            at = rng.randrange(n + 4 - min(run, n))
+            more = [f"x{n}.{k}.{i}" for i in range(run)]
+            texts.append(" ".join((base[:at] + more + base[at + run :], base[: n + 4 - 2 * run], base + more + more)[k % 3]))
+    texts += rng.sample(texts, 8)
+    got = {r.doc_id: r.component_id for r in jaccard.groups(frame(spark, texts), percent).collect()}
+    assert got == linked_components(texts, percent)
+
+
+def test_jaccard_fetches_long_texts_only_if_sketches_are_close(spark, monkeypatch):
+    passages = [" ".join(f"p{k}.{i}" for i in range(600)) for k in range(10)]
+    texts = [f"{passages[k]} {passages[(k + 1) % 10]}" for k in range(10)]  # each shares half of it with two others
+    texts.append(" ".join(texts[4].split()[:-40]))
+    rows = watched(monkeypatch)
+    got = {r.doc_id: r.component_id for r in jaccard.groups(frame(spark, texts)).collect()}
+    assert got == linked_components(texts, 75) == {k: k for k in range(10)} | {10: 4}
+    assert rows["texts"] == 2
+
+
+def test_jaccard_lists_only_keys_that_a_link_may_share_first(spark, monkeypatch):
+    same, own = ([f"{c}{i}" for i in range(160)] for c in "so")
+    texts = [" ".join(same + own[k : k + 40]) for k in (0, 50)]  # 160 of 240 words in common: 0.65
+    rows = watched(monkeypatch)
+    assert [r.component_id for r in jaccard.groups(frame(spark, texts)).orderBy("doc_id").collect()] == [0, 1]
+    assert rows["lists"] == 0
+    texts = [" ".join(same + own[k : k + 18]) for k in (0, 50)]
+    assert [r.component_id for r in jaccard.groups(frame(spark, texts)).orderBy("doc_id").collect()] == [0, 0]
+
+
 def test_one_each_tells_rows_apart_by_key_and_text(spark):
     a, b = "one two three four five six seven eight", "nothing of that kind is in this other text"
     rows = [(1, a, "x"), (1, b, "y"), (2, a, "z"), (None, a, "u"), (None, "quite another text with no key at all", "v"), (1, a, "w"), (3, None, "p"), (3, None, "q"), (4, "", "r")]

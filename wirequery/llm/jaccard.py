@@ -12,7 +12,8 @@ Lists are not turned into all pairs. In ROUNDS rounds each class is checked with
 for, which joins groups of copies with a number of checks in proportion to their size. Only then are the
 pairs listed that share a key, fit in size, position and parity, and are still in different components. Parity: each
 shingle flips one of 64 * PARITY bits of its class, so no more bits differ between two classes than shingles do, and a
-pair with more differing bits than a link allows is no link. All candidates are
+pair with more differing bits than a link allows is no link. Sets of more than WIDE shingles, of which that rules out
+little, have sketches too: the same with two to four bits a shingle, compared before texts are fetched. All candidates are
 checked exactly on their whole texts; no link between different components is lost, so the components are exact.
 
 Hot keys: a list of HOT classes or more, by the counts, is dealt over SALTS tasks when lists are told from single keys (it
@@ -40,6 +41,8 @@ from .common import Scope, small
 from .components import components
 
 SHINGLE, LIGHTEST, HEAVIEST, ROUNDS, PARITY = 5, 4, 64, 2, 8
+#: Largest set whose parity words are all it has; larger ones have a sketch too.
+WIDE = 32 * PARITY
 #: Buckets of shingle counts, and of them those in a chunk.
 BITS, CHUNK = 22, 1 << 14
 #: Counted length from which a list is dealt over SALTS tasks (64 times the mean of a bucket at least); classes of a list
@@ -64,12 +67,18 @@ def sets(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return value, owner, n, cls.view(np.int64)
 
 
-def parity(value: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
-    """n rows of PARITY words: the parity bits of each set."""
-    out = np.zeros((n, PARITY), np.uint64)
-    bit = T.mix(value + np.uint64(0x2545F4914F6CDD1D)) % np.uint64(64 * PARITY)
-    np.bitwise_xor.at(out.reshape(-1), owner * PARITY + (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
-    return out
+def parity(value: np.ndarray, owner: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, list[bytes | None]]:
+    """(a row of PARITY words for each set, its sketch: None up to WIDE shingles); n: sizes.
+
+    A sketch has two to four parity bits a shingle. Their number is a power of two, and what it folds to are the PARITY words.
+    """
+    blocks = np.exp2(np.ceil(np.log2(np.maximum(n / WIDE, 1)))).astype(np.int64)
+    at = PARITY * np.concatenate(([0], np.cumsum(blocks)))
+    out = np.zeros(at[-1], np.uint64)
+    bit = T.mix(value + np.uint64(0x2545F4914F6CDD1D)) & (64 * PARITY * blocks[owner] - 1).astype(np.uint64)
+    np.bitwise_xor.at(out, at[owner] + (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+    rows = np.bitwise_xor.reduceat(out.reshape(-1, PARITY), at[:-1] // PARITY, axis=0) if len(n) else np.zeros((0, PARITY), np.uint64)
+    return rows, [out[i:j].tobytes() if j - i > PARITY else None for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
 
 
 def _pack(count: np.ndarray) -> bytes:
@@ -82,28 +91,30 @@ def _unpack(data: bytes) -> np.ndarray:
 
 
 def _profile(batches):
-    """(id, hash, n, cls, bits) of each row, and (chunk, counts) of the shingles of a partition's classes, in one pass."""
+    """(id, hash, n, cls, bits, wide) of each row, and (chunk, counts) of the shingles of a partition's classes, in one pass."""
     count, seen = np.zeros(1 << BITS, np.int64), set()
-    names, kinds = ["id", "th", "n", "cls", "bits", "chunk", "counts"], [pa.int64()] * 4 + [pa.list_(pa.int64()), pa.int32(), pa.binary()]
+    names, kinds = ["id", "th", "n", "cls", "bits", "wide", "chunk", "counts"], [pa.int64()] * 4 + [pa.list_(pa.int64()), pa.binary(), pa.int32(), pa.binary()]
     for batch in batches:
         data, offs = T.raw(batch.column(0))
-        sizes, classes, bits = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros((0, PARITY), np.uint64)]
+        sizes, classes, bits, wide = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros((0, PARITY), np.uint64)], []
         for i, j in T.slices(offs):
             value, owner, n, cls = sets(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
             new = np.array([not (c in seen or seen.add(c)) for c in cls.tolist()], bool)
             np.add.at(count, (value[new[owner]] >> np.uint64(64 - BITS)).astype(np.int64), 1)
             sizes.append(n)
             classes.append(cls)
-            bits.append(parity(value, owner, len(n)))
+            rows, more = parity(value, owner, n)
+            bits.append(rows)
+            wide += more
         m = len(batch)
         ends = np.arange(0, m * PARITY + 1, PARITY, dtype=np.int32)
         lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(bits).view(np.int64).ravel()))
-        columns = [batch.column(1), batch.column(2), pa.array(np.concatenate(sizes).astype(np.int64)), pa.array(np.concatenate(classes)), lists]
-        yield pa.RecordBatch.from_arrays([*columns, pa.nulls(m, kinds[5]), pa.nulls(m, kinds[6])], names)
+        columns = [batch.column(1), batch.column(2), pa.array(np.concatenate(sizes).astype(np.int64)), pa.array(np.concatenate(classes)), lists, pa.array(wide, kinds[5])]
+        yield pa.RecordBatch.from_arrays([*columns, pa.nulls(m, kinds[6]), pa.nulls(m, kinds[7])], names)
     for k in range(0, (1 << BITS) // CHUNK, 16):
         chunks = [(c, count[c * CHUNK : (c + 1) * CHUNK]) for c in range(k, k + 16)]
         chunks = [(c, x) for c, x in chunks if x.any()]
-        yield pa.RecordBatch.from_arrays([*[pa.nulls(len(chunks), t) for t in kinds[:5]], pa.array([c for c, _ in chunks], kinds[5]), pa.array([_pack(x) for _, x in chunks], kinds[6])], names)
+        yield pa.RecordBatch.from_arrays([*[pa.nulls(len(chunks), t) for t in kinds[:6]], pa.array([c for c, _ in chunks], kinds[6]), pa.array([_pack(x) for _, x in chunks], kinds[7])], names)
 
 
 def _levels(batches):
@@ -209,6 +220,22 @@ def overlaps(percent: int):
     return link
 
 
+def sketched(percent: int):
+    """A column function: whether sketches let two sets of so many shingles in all link; null sketches do."""
+
+    @F.arrow_udf("boolean")
+    def may(left: pa.Array, right: pa.Array, both: pa.Array) -> pa.Array:
+        out = np.ones(len(left), bool)
+        for i, (a, b, n) in enumerate(zip(left.to_pylist(), right.to_pylist(), both.to_pylist(), strict=True)):
+            if a is not None and b is not None:
+                a, b = sorted((np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)), key=len)
+                differ = np.bitwise_count(a ^ np.bitwise_xor.reduce(b.reshape(-1, len(a)), axis=0))
+                out[i] = (100 + percent) * int(differ.sum()) <= (100 - percent) * n
+        return pa.array(out)
+
+    return may
+
+
 def _near(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
@@ -223,10 +250,12 @@ class _Join:
     """The tables of one join: rows (text, id, th) and classes (cls, n, id, th, bits)."""
 
     def __init__(self, rows: DataFrame, percent: int, scope: Scope):
-        self.rows, self.percent, self.scope, self.link = rows, percent, scope, overlaps(percent)
+        self.rows, self.percent, self.scope = rows, percent, scope
+        self.link, self.may = overlaps(percent), sketched(percent)
 
     def lists(self) -> DataFrame:
-        """(key, cls, n, pos, parts) of the keys that several classes have, near enough in size to link; parts: how many parts of a list vote apart."""
+        """(key, cls, n, pos, parts) of the keys that several classes have, near enough in size to link, and with enough
+        left of the sets if this is what they share first; parts: how many parts of a list vote apart."""
         spark, by = self.rows.sparkSession, Window.partitionBy("key", "salt")
         found = self.found.filter("chunk is not null").select("chunk", "counts").repartition("chunk").mapInArrow(_levels, "chunk int, levels binary").collect()
         rank = np.zeros(1 << BITS, np.uint8)
@@ -239,13 +268,33 @@ class _Join:
         keys = self.rows.select("text").mapInArrow(_keys(spark.sparkContext.broadcast(rank), light, self.percent, hot), "key bigint, cls bigint, n int, pos int, hot boolean")
         keys = keys.withColumn("salt", F.when(F.col("hot"), F.pmod("cls", F.lit(SALTS))).otherwise(F.lit(0)).cast("int"))
         size = by.orderBy("n", "cls")
-        keys = keys.withColumns({"before": F.lag("n").over(size), "after": F.lead("n").over(size), "lo": F.min("cls").over(by), "hi": F.max("cls").over(by), "c": F.count(F.lit(1)).over(by)})
-        keys = keys.filter("hot or lo <> hi and (" + " or ".join(f"{m} is not null and {self.percent} * greatest(n, {m}) <= 100 * least(n, {m})" for m in ("before", "after")) + ")")
+        keys = keys.withColumn("twin", F.lag("cls").over(size)).filter("twin is null or twin <> cls")  # of a class, by another partition
+        me = F.struct(F.col("n").cast("long").alias("n"), (F.col("n") - F.col("pos")).cast("long").alias("left"))
+        keys = keys.withColumns({"me": me, "before": F.lag(me).over(size), "after": F.lead(me).over(size), "least": F.min("n").over(by), "c": F.count(F.lit(1)).over(by)})
+        near = lambda o: _near(F.col("me.n"), F.col(f"{o}.n"), self.percent)
+        first = lambda left, other: (100 + self.percent) * left >= self.percent * (F.col("me.n") + other)
+        pair = F.greatest(*[near(o) & first(F.least("me.left", f"{o}.left"), F.col(f"{o}.n")) for o in ("before", "after")])
+        more = F.greatest(near("before"), near("after")) & first(F.col("me.left"), F.when(F.col("before").isNull(), F.col("after.n")).otherwise(F.col("least")))
+        keys = keys.filter(F.col("hot") | F.when(F.col("c") == 2, pair).otherwise(more))
         parts = F.ceil(F.col("c") * F.when(F.col("hot"), SALTS).otherwise(1) / PART).cast("int")
-        return self.scope.cut(keys.select("key", "cls", "n", "pos", parts.alias("parts")).distinct(), "lists")
+        return self.scope.cut(keys.select("key", "cls", "n", "pos", parts.alias("parts")), "lists")
+
+    def close(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that sketches let link."""
+        asked = self.scope.cut(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), "asked")
+        held = self.found.filter("wide is not null").select("cls", "n", "wide").join(small(asked), "cls")
+        held = self.scope.cut(held.groupBy("cls").agg(F.first("n").alias("n"), F.first("wide").alias("wide")), "sketches")
+        a, b = (held.select(F.col("cls").alias(k), F.col("n").alias(f"n{k}"), F.col("wide").alias(f"w{k}")) for k in ("a", "b"))
+        may = self.may.asNondeterministic()("wa", "wb", F.col("na") + F.col("nb"))
+        out = self.scope.cut(pairs.select("a", "b").join(a, "a", "left").join(b.hint("merge"), "b", "left").select("a", "b", may.alias("ok")).filter("ok").select("a", "b"), "close")
+        self.scope.free(asked, held)
+        return out
 
     def check(self, pairs: DataFrame) -> DataFrame | None:
-        """The pairs (a, b) that link, None if none does; texts are fetched for their classes only."""
+        """The pairs (a, b) that link, None if none does; texts are fetched only for classes of pairs that are close."""
+        if not pairs.limit(1).count():
+            return None
+        pairs = self.close(pairs)
         if not pairs.limit(1).count():
             return None
         both = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
@@ -258,12 +307,16 @@ class _Join:
         return out if out.limit(1).count() else None
 
     def apart(self, lists: DataFrame, roots: DataFrame | None) -> DataFrame:
-        """The rows of lists whose key has classes of several components, with each class's component."""
+        """The rows of lists whose key has classes of several components, with each class's component; they replace lists,
+        since components only grow."""
         if roots is None:
             return lists.withColumn("root", F.col("cls"))
-        placed = self.scope.cut(lists.join(small(roots), F.col("cls") == F.col("node"), "left").select(*lists.columns, F.coalesce("root", "cls").alias("root")), "placed")
+        held = lists.select("key", "cls", "n", "pos", "parts")
+        placed = self.scope.cut(held.join(small(roots), F.col("cls") == F.col("node"), "left").select(*held.columns, F.coalesce("root", "cls").alias("root")), "placed")
         keys = self.scope.cut(placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key"), "open")
-        return placed.join(keys.hint("merge"), "key", "left_semi")
+        out = self.scope.cut(placed.join(keys.hint("merge"), "key", "left_semi"), "apart")
+        self.scope.free(lists, placed, keys)
+        return out
 
     def vote(self, placed: DataFrame, tried: DataFrame | None, round_: int) -> DataFrame:
         """For each class up to three partners of another component: by shared keys, among the smallest sets of its part of
@@ -289,7 +342,7 @@ class _Join:
 
     def rest(self, placed: DataFrame, tried: DataFrame) -> DataFrame:
         """All pairs of a list that fit, are not together and not tried."""
-        placed = self.scope.cut(placed.join(self.classes.select("cls", "bits"), "cls").select("key", "cls", "n", "pos", "root", "bits"), "apart")
+        placed = self.scope.cut(placed.join(self.classes.select("cls", "bits"), "cls").select("key", "cls", "n", "pos", "root", "bits"), "listed")
         x, y = (placed.select("key", *[F.col(c).alias(f"{c}{k}") for c in ("cls", "n", "pos", "root", "bits")]) for k in (1, 2))
         both = F.col("n1") + F.col("n2")
         most = 1 + F.least(F.col("n1") - F.col("pos1") - 1, F.col("n2") - F.col("pos2") - 1)  # if this is the first shared shingle
@@ -304,6 +357,7 @@ class _Join:
         lists, tried, roots = self.lists(), None, None
         for round_ in range(ROUNDS + 1):
             placed = self.apart(lists, roots)
+            lists = placed if roots is not None else lists
             if round_ < ROUNDS:  # votes, which join most of what belongs together
                 new = self.vote(placed, tried, round_)
                 ok, tried = self.check(new.filter("alike")), new if tried is None else tried.unionByName(new)
@@ -318,7 +372,7 @@ class _Join:
         """(id, th, n, cls, low_id, low_th) of each row, from tables of its own: low_*: id and text hash of the component's
         least row, by id (null last), then hash."""
         scope = self.scope
-        self.found = scope.cut(self.rows.mapInArrow(_profile, "id bigint, th bigint, n bigint, cls bigint, bits array<bigint>, chunk int, counts binary"), "sets")
+        self.found = scope.cut(self.rows.mapInArrow(_profile, "id bigint, th bigint, n bigint, cls bigint, bits array<bigint>, wide binary, chunk int, counts binary"), "sets")
         members = self.found.filter("chunk is null").select("id", "th", "n", "cls")
         lowest = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th"))
         least = members.filter("n > 0").groupBy("cls").agg(F.first("n").alias("n"), lowest.alias("o")).select("cls", "n", F.col("o.id").alias("id"), F.col("o.th").alias("th"))
